@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, SparkRuntimeException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakewright.errors import LakeError
 from lakewright.functions.sqltypes import spark_type, sql_type
@@ -20,6 +23,7 @@ REPORT_SCHEMA = "table string, action string, rows long, files long"
 PLAN_SCHEMA = "name string, ok boolean, detail string"
 SLICE_COLUMN = "sub_path"
 INTENTS = ("read_only", "editable")
+_NESTED = (T.ArrayType, T.StructType, T.MapType, T.VariantType)
 CONFLICT_MODES = ("fail", "append", "replace")
 
 
@@ -41,9 +45,31 @@ class Source:
     fmt: str
     csv: CsvOptions
     listing: DataFrame
-    file_columns: DataFrame
     columns: list[tuple[str, str]]
     file_count: int
+    # Per file and column; None when all Parquet files agree on every type.
+    file_columns: DataFrame | None
+
+    def close(self) -> None:
+        if self.file_columns is not None:
+            self.file_columns.unpersist()
+
+
+def _agreed_columns(spark: SparkSession, folder: str) -> list[tuple[str, str]] | None:
+    """The columns of Parquet files that all agree, from one distributed read of
+    the footers; None when types differ or a type needs the footers' own name."""
+    reader = spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true")
+    try:
+        merged = reader.option("pathGlobFilter", files.name_glob("parquet")).parquet(folder).schema
+    except (AnalysisException, SparkRuntimeException, Py4JJavaError):
+        return None
+    # An unsigned 64-bit column arrives as this decimal.
+    if any(f.dataType.simpleString() == "decimal(20,0)" for f in merged.fields):
+        return None
+    nested = [f.name for f in merged.fields if isinstance(f.dataType, _NESTED)]
+    if nested:
+        raise LakeError("nested columns are not supported", nested)
+    return [(f.name, sql_type(f.dataType, f.name)) for f in merged.fields]
 
 
 def open_source(
@@ -57,14 +83,20 @@ def open_source(
     count = listing.count()
     if not count:
         raise LakeError(f"no {fmt} files found under {folder}")
+    if fmt == "parquet":
+        agreed = _agreed_columns(spark, folder)
+        if agreed is not None:
+            return Source(spark, folder, fmt, csv, listing, agreed, count, None)
     # One row per file and column; read once, used for schema and grouping.
     file_columns = schema.column_types(spark, folder, fmt, csv).persist()
     columns = schema.schema_list(schema.unified_schema(file_columns))
-    return Source(spark, folder, fmt, csv, listing, file_columns, columns, count)
+    return Source(spark, folder, fmt, csv, listing, columns, count, file_columns)
 
 
 def _signatures(source: Source) -> list[tuple[list[str], list[str]]]:
-    """``(column names, file paths)`` per distinct file schema."""
+    """``(column names, file paths)`` per distinct file schema; empty when one fits all."""
+    if source.file_columns is None:
+        return []
     per_file = source.file_columns.groupBy("path").agg(
         F.sort_array(F.collect_list(F.struct("ordinal", "name", "type"))).alias("signature")
     )
@@ -84,6 +116,7 @@ def _read_raw(source: Source, names: list[str], where: str | list[str]) -> DataF
     """Files of one schema as they are (CSV: text columns under their names)."""
     reader = _reader(source)
     if source.fmt == "parquet":
+        reader = reader.option("mergeSchema", str(source.file_columns is None).lower())
         return reader.parquet(*([where] if isinstance(where, str) else where))
     if source.fmt == "csv":
         text = ", ".join(f"c{i} string" for i in range(len(names)))
@@ -234,7 +267,7 @@ def ingest_plan(
     try:
         source = open_source(lake.spark, folder, fmt, csv)
         rows = _checks(lake, source, table, intent, conflict_mode, definition, max_bytes)
-        source.file_columns.unpersist()
+        source.close()
     except LakeError as exc:
         rows = [("files", False, str(exc))]
     return lake.spark.createDataFrame(rows, PLAN_SCHEMA)
@@ -283,7 +316,7 @@ def ingest(
         writer(lake, counted, table, **({} if action == "append" else options))
         rows = seen.get["rows"]
     report = [(table, action, rows, source.file_count)]
-    source.file_columns.unpersist()
+    source.close()
     return lake.spark.createDataFrame(report, REPORT_SCHEMA)
 
 
@@ -357,11 +390,14 @@ def ingest_slice(
                 for c in target.schema.fields
             ]
         )
-        aligned.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").insertInto(
-            lake.sql_name(table)
+        # A static partition value: only that slice is overwritten.
+        lake.spark.sql(
+            f"INSERT OVERWRITE TABLE {lake.sql_name(table)} PARTITION ({SLICE_COLUMN} = '{name}') "
+            "SELECT * FROM {aligned}",
+            aligned=aligned.drop(SLICE_COLUMN),
         )
     report = [(table, action, seen.get["rows"], source.file_count)]
-    source.file_columns.unpersist()
+    source.close()
     return lake.spark.createDataFrame(report, REPORT_SCHEMA)
 
 

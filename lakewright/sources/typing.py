@@ -76,7 +76,8 @@ CANDIDATES = ("BIGINT", "BOOLEAN", "DATE", "TIMESTAMP", "DOUBLE")
 
 def csv_headers(listing: DataFrame, options: CsvOptions) -> DataFrame:
     """``(path, names)``: each file's column names (``f0, f1, …`` without a header)."""
-    line = files.first_lines(listing)
+    # Read once: the width and the names both come from it.
+    line = files.first_lines(listing).persist()
     read = options.reader()
     # Whatever the number of names, one header is one row: split it with the
     # CSV rules by reading every name up to a width no line can exceed.
@@ -114,7 +115,7 @@ def csv_column_types(
         .options(**options.reader())
         .schema(schema)
         .csv(root)
-        .select(F.col("_metadata.file_path").alias("path"), *columns)
+        .select(files.source_path().alias("path"), *columns)
     )
     aggregates = []
     for c in columns:
@@ -131,21 +132,14 @@ def csv_column_types(
         for name in CANDIDATES:
             kind = kind.when(F.col(f"{c}_{name}"), F.lit(name))
         verdicts.append(F.struct(F.lit(i).alias("ordinal"), kind.otherwise(F.lit("VARCHAR")).alias("type")))
-    typed = flags.select(_same_form("path").alias("at"), F.inline(F.array(*verdicts)))
-    named = headers.select(
-        "path", _same_form("path").alias("at"), F.posexplode("names").alias("ordinal", "name")
-    )
+    typed = flags.select("path", F.inline(F.array(*verdicts)))
+    named = headers.select("path", F.posexplode("names").alias("ordinal", "name"))
     # A file of a header only has no rows, hence no verdict: VARCHAR.
-    return named.join(typed, ["at", "ordinal"], "left").select(
+    return named.join(typed, ["path", "ordinal"], "left").select(
         "path", "ordinal", "name", F.coalesce("type", F.lit("VARCHAR")).alias("type")
     )
 
 
-def _same_form(path: str) -> Column:
-    """Local paths are reported as ``file:/x`` and as ``file:///x``."""
-    return F.regexp_replace(F.col(path), "^file:/+", "/")
-
-
 def json_column_types(spark: SparkSession, root: str) -> DataFrame:
     """``(path, ordinal, name, type)`` for every file of JSON lines below ``root``.
 
@@ -159,7 +153,7 @@ def json_column_types(spark: SparkSession, root: str) -> DataFrame:
         .text(root)
         .filter(F.trim("value") != "")
         .select(
-            F.col("_metadata.file_path").alias("path"),
+            files.source_path().alias("path"),
             F.try_parse_json("value").alias("record"),
             # A variant keeps its keys sorted; the text has them as written.
             F.json_object_keys("value").alias("keys"),

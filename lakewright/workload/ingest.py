@@ -327,7 +327,7 @@ def q_utf8_violations(spark, sf):
     # Text files end in .txt; the check itself takes any format's files.
     found = (
         spark.read.text(folder, recursiveFileLookup=True)
-        .select(F.col("_metadata.file_path").alias("path"), "value")
+        .select(files.source_path().alias("path"), "value")
     )
     bad = files.invalid_lines(found, folder)
     return bad.groupBy(F.regexp_extract("rel_path", "source=([a-z0-9]+)/", 1).alias("source")).agg(
