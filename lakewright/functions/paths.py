@@ -15,10 +15,12 @@ from lakewright.errors import LakeError
 from lakewright.functions.text import strip
 
 PLAIN_NAME = "^[A-Za-z_][A-Za-z0-9_]*$"
-# One run of a quoted part (with "" inside) or of anything but the separator.
-_DOTTED_PART = r'(?:"(?:[^"]|"")*"|[^".])+'
-_SLASHED_PART = r'(?:"(?:[^"]|"")*"|[^"/])+'
-_QUOTED_RUN = r'"((?:[^"]|"")*)"'
+# Quantifiers are possessive: a long name must not deepen the matcher's stack.
+_QUOTED = r'"[^"]*+(?:""[^"]*+)*+"'
+# One run of quoted parts and of anything but the separator.
+_DOTTED_PART = rf'(?:{_QUOTED}|[^".]++)++'
+_SLASHED_PART = rf'(?:{_QUOTED}|[^"/]++)++'
+_QUOTED_RUN = r'"([^"]*+(?:""[^"]*+)*+)"'
 
 
 def _unquote(part: Column) -> Column:
