@@ -95,8 +95,9 @@ class Lake:
 
     def databases(self) -> list[str]:
         return sorted(
-            d.name for d in self.spark.catalog.listDatabases() if d.name.startswith(self.prefix)
-            and (self.prefix or d.name != "default")
+            d.name
+            for d in self.spark.catalog.listDatabases(f"{self.prefix}*")
+            if d.name.startswith(self.prefix) and (self.prefix or d.name != "default")
         )
 
     def folders(self) -> list[str]:
@@ -160,9 +161,18 @@ class Lake:
         for database in sorted(inside, key=lambda d: -d.count("__")):
             self.spark.sql(f"DROP DATABASE IF EXISTS {quote(database)} CASCADE")
 
+    def drop_empty_folders(self, path: str) -> None:
+        """Remove a folder and all below it, deepest first; an entry in one is an error."""
+        top = self.database(path)
+        inside = [d for d in self.databases() if d == top or d.startswith(top + "__")]
+        for database in sorted(inside, key=lambda d: -d.count("__")):
+            if self.spark.catalog.listTables(database):
+                raise LakeError(f"folder {self.folder_path(database)!r} is not empty")
+            self.spark.sql(f"DROP DATABASE {quote(database)} RESTRICT")
+
     # properties ----------------------------------------------------------------
 
-    def _property(self, path: str, key: str) -> str | None:
+    def property(self, path: str, key: str) -> str | None:
         rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.sql_name(path)}").collect()
         return next((r["value"] for r in rows if r["key"] == key), None)
 
@@ -177,13 +187,13 @@ class Lake:
     def tags(self, path: str) -> list[str]:
         if self.kind(path) is None:
             raise LakeError(f"{path!r} is no table or view")
-        return json.loads(self._property(path, TAGS_PROPERTY) or "[]")
+        return json.loads(self.property(path, TAGS_PROPERTY) or "[]")
 
     def set_tags(self, path: str, tags: list[str]) -> None:
         self._set_property(path, TAGS_PROPERTY, json.dumps(list(tags)))
 
     def wiki(self, path: str) -> str:
-        text = self._property(path, WIKI_PROPERTY)
+        text = self.property(path, WIKI_PROPERTY)
         if not text:
             raise LakeError(f"{path!r} has no wiki")
         return text
@@ -197,7 +207,7 @@ class Lake:
     def metadata(self, folder: str | None = None) -> DataFrame:
         """Tags and wiki of every entry, as the metadata operators take them."""
         rows = [
-            (p, k, self.tags(p), self._property(p, WIKI_PROPERTY) or None)
+            (p, k, self.tags(p), self.property(p, WIKI_PROPERTY) or None)
             for p, k in self.entries(folder)
         ]
         return self.spark.createDataFrame(rows, METADATA_SCHEMA)

@@ -43,6 +43,8 @@ def _chains(views: DataFrame) -> DataFrame:
         .withColumn(
             "after_word", F.coalesce(F.upper("previous").isin(*sqltext.REFERENCE_WORDS), F.lit(False))
         )
+        # A name given by AS is an alias, whatever entry is called the same.
+        .withColumn("is_alias", F.coalesce(F.upper("previous") == "AS", F.lit(False)) & (F.size("names") == 1))
     )
 
 
@@ -91,7 +93,7 @@ def rewrite_references(
     # A direct hit outranks any hit through the context, a longer one a shorter.
     direct = F.transform(every, lambda n: candidate(n + 1_000_000, _joined(F.col("names"), n), n, F.lit(False)))
     relative = F.when(
-        before > 0, F.transform(every, lambda n: candidate(n, _joined(full, before + n), n, F.lit(True)))
+        (before > 0) & ~F.col("is_alias"), F.transform(every, lambda n: candidate(n, _joined(full, before + n), n, F.lit(True)))
     ).otherwise(F.array().cast("array<struct<rank:int,key:string,used:int,by_context:boolean>>"))
     candidates = chains.select(
         "path", "position", F.inline(F.concat(direct, relative))
@@ -216,9 +218,9 @@ def view_definition(lake, path: str) -> tuple[str, list[str] | None]:
         raise LakeError(f"{path!r} is no view")
     rows = lake.spark.sql(f"DESCRIBE EXTENDED {lake.sql_name(path)}").collect()
     found = {r["col_name"]: r["data_type"] for r in rows}
-    own = lake._property(path, "lakewright.sql")
+    own = lake.property(path, "lakewright.sql")
     if own is not None:
-        context = lake._property(path, "lakewright.context")
+        context = lake.property(path, "lakewright.context")
         return own, context.split(".") if context else None
     if "View Text" not in found:
         raise LakeError(f"the definition of {path!r} cannot be read")

@@ -30,8 +30,15 @@ def arranged(df: DataFrame, partition_by: list[str], sort_by: list[str] | None =
     return df
 
 
-def _save(df: DataFrame, name: str, partition_by: list[str], sort_by: list[str] | None) -> None:
-    writer = arranged(df, partition_by, sort_by).write.format("parquet").mode("errorifexists")
+def _save(
+    df: DataFrame,
+    name: str,
+    partition_by: list[str],
+    sort_by: list[str] | None,
+    clustered: bool = False,
+) -> None:
+    laid_out = df if clustered else arranged(df, partition_by, sort_by)
+    writer = laid_out.write.format("parquet").mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(name)
@@ -69,6 +76,15 @@ def _beside(ident: Ident, suffix: str) -> Ident:
     return Ident(ident.database, ident.table + suffix)
 
 
+def rename_table(lake: Lake, old: Ident, new: Ident) -> None:
+    """Rename inside one database. A catalog may keep the old location of each
+    partition, so partitions are matched with the moved folder afterwards."""
+    spark = lake.spark
+    spark.sql(f"ALTER TABLE {old.sql} RENAME TO {new.sql}")
+    if any(c.isPartition for c in spark.catalog.listColumns(new.sql)):
+        spark.sql(f"MSCK REPAIR TABLE {new.sql} SYNC PARTITIONS")
+
+
 def recover(lake: Lake, path: str) -> None:
     """Finish a switch that stopped half-way: an ``__old`` without its table goes back."""
     spark, ident = lake.spark, lake.ident(path)
@@ -77,7 +93,7 @@ def recover(lake: Lake, path: str) -> None:
         if spark.catalog.tableExists(ident.sql):
             spark.sql(f"DROP TABLE {old.sql}")
         else:
-            spark.sql(f"ALTER TABLE {old.sql} RENAME TO {ident.sql}")
+            rename_table(lake, old, ident)
 
 
 def stage(
@@ -86,13 +102,17 @@ def stage(
     path: str,
     partition_by: list[str] | None = None,
     sort_by: list[str] | None = None,
+    clustered: bool = False,
 ) -> None:
-    """Write ``df`` beside ``path``; drops what it wrote when it fails."""
+    """Write ``df`` beside ``path``; drops what it wrote when it fails.
+
+    ``clustered`` says the rows already come partition by partition.
+    """
     staging = _beside(lake.ident(path), STAGING)
     lake.ensure_folder(path.rpartition(".")[0])
     lake.spark.sql(f"DROP TABLE IF EXISTS {staging.sql}")
     try:
-        _save(df, staging.sql, list(partition_by or []), sort_by)
+        _save(df, staging.sql, list(partition_by or []), sort_by, clustered)
     except Exception:
         lake.spark.sql(f"DROP TABLE IF EXISTS {staging.sql}")
         raise
@@ -114,8 +134,8 @@ def switch(lake: Lake, path: str) -> bool:
     if kind == VIEW:
         spark.sql(f"DROP VIEW {ident.sql}")
     elif kind == TABLE:
-        spark.sql(f"ALTER TABLE {ident.sql} RENAME TO {old.sql}")
-    spark.sql(f"ALTER TABLE {staging.sql} RENAME TO {ident.sql}")
+        rename_table(lake, ident, old)
+    rename_table(lake, staging, ident)
     if kind == TABLE:
         spark.sql(f"DROP TABLE {old.sql}")
     return kind is not None
