@@ -94,12 +94,33 @@ class Lake:
     # looking up ---------------------------------------------------------------
 
     def databases(self) -> list[str]:
+        # SHOW commands answer from the catalog at once; listing functions of
+        # the catalog API run a job each.
+        rows = self.spark.sql(f"SHOW DATABASES LIKE '{self.prefix}*'").collect()
         return sorted(
-            d.name
-            for d in self.spark.catalog.listDatabases(f"{self.prefix}*")
-            if d.name.startswith(self.prefix) and (self.prefix or d.name != "default")
+            r["namespace"]
+            for r in rows
+            if r["namespace"].startswith(self.prefix) and (self.prefix or r["namespace"] != "default")
         )
 
+    def _listed(self, database: str) -> list[tuple[str, str]]:
+        """``(table name, kind)`` of one database."""
+        views = self.spark.sql(f"SHOW VIEWS IN {quote(database)}").collect()
+        named = {r["viewName"] for r in views if not r["isTemporary"]}
+        tables = self.spark.sql(f"SHOW TABLES IN {quote(database)}").collect()
+        return [
+            (r["tableName"], VIEW if r["tableName"] in named else TABLE)
+            for r in tables
+            if not r["isTemporary"]
+        ]
+
+    def partition_columns(self, path: str) -> list[str]:
+        """The columns a table is partitioned by, none for a view."""
+        rows = [r["col_name"] for r in self.spark.sql(f"DESCRIBE TABLE {self.sql_name(path)}").collect()]
+        if "# Partition Information" not in rows:
+            return []
+        return [c for c in rows[rows.index("# Partition Information") + 1 :] if not c.startswith("#")]
+
     def folders(self) -> list[str]:
         """Every folder that exists, also the empty ones; parents first."""
         found: set[str] = set()
@@ -127,10 +148,7 @@ class Lake:
             if top is not None and database != top and not database.startswith(top + "__"):
                 continue
             where = self.folder_path(database)
-            for t in self.spark.catalog.listTables(database):
-                if t.isTemporary:
-                    continue
-                rows.append((f"{where}.{decode_name(t.name)}", VIEW if t.tableType == "VIEW" else TABLE))
+            rows += [(f"{where}.{decode_name(t)}", kind) for t, kind in self._listed(database)]
         return sorted(rows)
 
     def inventory(self, folder: str | None = None) -> DataFrame:
@@ -155,7 +173,7 @@ class Lake:
         """Remove a folder; what is below it goes only with ``cascade``."""
         top = self.database(path)
         inside = [d for d in self.databases() if d == top or d.startswith(top + "__")]
-        filled = [d for d in inside if d != top or self.spark.catalog.listTables(d)]
+        filled = [d for d in inside if d != top or self._listed(d)]
         if filled and not cascade:
             raise LakeError(f"folder {path!r} is not empty")
         for database in sorted(inside, key=lambda d: -d.count("__")):
@@ -166,7 +184,7 @@ class Lake:
         top = self.database(path)
         inside = [d for d in self.databases() if d == top or d.startswith(top + "__")]
         for database in sorted(inside, key=lambda d: -d.count("__")):
-            if self.spark.catalog.listTables(database):
+            if self._listed(database):
                 raise LakeError(f"folder {self.folder_path(database)!r} is not empty")
             self.spark.sql(f"DROP DATABASE {quote(database)} RESTRICT")
 

@@ -35,9 +35,7 @@ def _report(lake: Lake, rows: list[tuple]) -> DataFrame:
 
 def partition_columns(lake: Lake, path: str) -> list[str]:
     """The columns a table is partitioned by, none for a view."""
-    if lake.kind(path) != TABLE:
-        return []
-    return [c.name for c in lake.spark.catalog.listColumns(lake.sql_name(path)) if c.isPartition]
+    return lake.partition_columns(path) if lake.kind(path) == TABLE else []
 
 
 def in_parallel(lake: Lake, work: Callable, items: list) -> list:

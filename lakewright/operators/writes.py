@@ -81,7 +81,8 @@ def rename_table(lake: Lake, old: Ident, new: Ident) -> None:
     partition, so partitions are matched with the moved folder afterwards."""
     spark = lake.spark
     spark.sql(f"ALTER TABLE {old.sql} RENAME TO {new.sql}")
-    if any(c.isPartition for c in spark.catalog.listColumns(new.sql)):
+    described = spark.sql(f"DESCRIBE TABLE {new.sql}").collect()
+    if any(r["col_name"] == "# Partition Information" for r in described):
         spark.sql(f"MSCK REPAIR TABLE {new.sql} SYNC PARTITIONS")
 
 
