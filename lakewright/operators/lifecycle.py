@@ -128,24 +128,23 @@ def table_to_view(lake: Lake, view: str, source: str) -> None:
 def verify_copy(pairs: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
     """``(path, source_rows, target_rows, same)``: equal counts and content per pair."""
     parts = []
-    for path, (source, target) in pairs.items():
-        left, right = fingerprint(source), fingerprint(target)
-        # Both sides are one row each.
-        both = left.select(F.struct("*").alias("s"), F.lit(1).alias("one")).join(
-            right.select(F.struct("*").alias("t"), F.lit(1).alias("one")), "one"
-        )
-        parts.append(
-            both.select(
-                F.lit(path).alias("path"),
-                F.col("s.rows").alias("source_rows"),
-                F.col("t.rows").alias("target_rows"),
-                (F.col("s") == F.col("t")).alias("same"),
-            )
-        )
-    out = parts[0]
+    for path, sides in pairs.items():
+        for side, df in zip(("source", "target"), sides):
+            parts.append(fingerprint(df).select(F.lit(path).alias("path"), F.lit(side).alias("side"), F.struct("*").alias("print")))
+    prints = parts[0]
     for part in parts[1:]:
-        out = out.unionAll(part)
-    return out
+        prints = prints.unionAll(part)
+
+    def of(side: str):
+        return F.max(F.when(F.col("side") == side, F.col("print"))).alias(side)
+
+    # Two rows per pair: one fingerprint for each side.
+    return prints.groupBy("path").agg(of("source"), of("target")).select(
+        "path",
+        F.col("source.rows").alias("source_rows"),
+        F.col("target.rows").alias("target_rows"),
+        (F.col("source") == F.col("target")).alias("same"),
+    )
 
 
 def move_table(

@@ -168,7 +168,7 @@ def q_latest_release(spark, sf):
     lake = _released(spark, sf)
     listed = [p for p, k in lake.entries(AREA) if k == "VIEW" and ".draft." not in p]
     tags = lake.metadata(AREA).select("path", F.array_join("tags", ",").alias("tags"))
-    return _union(lake, listed).join(F.broadcast(tags), "path")
+    return _union(lake, listed).join(tags, "path")
 
 
 def q_release_untags(spark, sf):
