@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakewright.functions.once import computed_once
 from lakewright.functions.skew import salted_join
 from lakewright.functions.text import strip
 
@@ -104,7 +105,7 @@ def iso_parse(records: DataFrame) -> DataFrame:
     and its error. Of several dates of one type the latest counts.
     """
     root = has_right_root(F.col("xml"))
-    parsed = records.select("id", root.alias("root"), _parsed(F.col("xml")).alias("r"))
+    parsed = computed_once(records, root=root, r=_parsed(F.col("xml"))).drop("xml")
     r = F.col("r")
     broken = r["_corrupt_record"].isNotNull() | r.isNull()
     error = F.when(broken, F.lit(NOT_WELL_FORMED)).when(~F.col("root"), F.lit(WRONG_ROOT))
@@ -209,14 +210,13 @@ def iso_validate(records: DataFrame, xsd: str | None = None) -> DataFrame:
     has_entity = declared & (entity != "")
     # An entity that is not expanded reads as broken text: tell it apart first.
     plain = F.when(has_entity, F.regexp_replace(F.regexp_replace(xml, _ENTITY, "x"), r"<!DOCTYPE[^\[>]*+\[[\s\S]*?\]\s*>", "")).otherwise(xml)
-    checked = records.select(
-        "id",
-        "xml",
-        has_right_root(xml).alias("root"),
-        has_entity.alias("has_entity"),
-        entity.alias("entity"),
-        _parsed(plain).getField("_corrupt_record").isNotNull().alias("broken"),
-        (_parsed(xml, {"rowValidationXSDPath": xsd}).getField("_corrupt_record").isNotNull() if xsd else F.lit(False)).alias("invalid"),
+    checked = computed_once(
+        records.select("id", "xml"),
+        root=has_right_root(xml),
+        has_entity=has_entity,
+        entity=entity,
+        broken=_parsed(plain).getField("_corrupt_record").isNotNull(),
+        invalid=_parsed(xml, {"rowValidationXSDPath": xsd}).getField("_corrupt_record").isNotNull() if xsd else F.lit(False),
     )
     issue = (
         F.when(F.col("broken"), F.lit(NOT_WELL_FORMED))
