@@ -87,6 +87,11 @@ class Lake:
     def sql_name(self, path: str) -> str:
         return self.ident(path).sql
 
+    @staticmethod
+    def canonical(path: str) -> str:
+        """A plain dotted path as entries are listed: the catalog ignores case."""
+        return path.strip().lower()
+
     def folder_path(self, database: str) -> str:
         names = database[len(self.prefix) :].split("__")
         return ".".join(decode_name(n) for n in names)

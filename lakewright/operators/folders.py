@@ -33,6 +33,7 @@ def view_definitions(lake: Lake, folder: str | None = None) -> DataFrame:
 
 def scan(lake: Lake, source: str, target: str) -> DataFrame:
     """:func:`lakewright.plans.folders.folder_scan` of a lake's own entries."""
+    source, target = lake.canonical(source), lake.canonical(target)
     known = lake.spark.createDataFrame([(f,) for f in lake.folders()], "path string")
     return folder_scan(lake.inventory(), view_definitions(lake, source), source, target, known)
 

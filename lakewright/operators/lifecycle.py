@@ -224,13 +224,15 @@ def create_version(
     include_views: bool = False,
 ) -> DataFrame:
     """Snapshot a selection of tables into ``{target}.{version}``."""
-    if not version.strip() or "." in version:
+    source, target, version = (lake.canonical(p) for p in (source, target, version))
+    tables = [lake.canonical(t) for t in tables or []]
+    if not version or "." in version:
         raise LakeError(f"a version is one non-blank folder name, not {version!r}")
     if not lake.is_folder(source):
         raise LakeError(f"source {source!r} does not exist")
     if not create_target_folder and not lake.is_folder(target):
         raise LakeError(f"target {target!r} does not exist")
-    version_path = f"{target}.{version.strip()}"
+    version_path = f"{target}.{version}"
     existed = lake.is_folder(version_path)
     if existed and not overwrite:
         raise LakeError(f"version {version_path!r} already exists")
@@ -259,6 +261,7 @@ def create_version(
 
 def find_draft(lake: Lake, context: str) -> str:
     """The nearest ``draft`` in the context, else the ``draft`` right below it."""
+    context = lake.canonical(context)
     names = context.split(".")
     if DRAFT in names:
         return ".".join(names[: len(names) - names[::-1].index(DRAFT)])
@@ -292,6 +295,7 @@ def require_area(lake: Lake, area: str, publish: bool = False) -> None:
 
 def update_latest_release(lake: Lake, area: str, version: str, overwrite: bool = True) -> DataFrame:
     """One public view at the area's root per table of the version."""
+    area, version = lake.canonical(area), lake.canonical(version)
     require_area(lake, area)
     if not lake.is_folder(f"{area}.{VERSIONS}.{version}"):
         raise LakeError(f"version {version!r} of {area!r} does not exist")
@@ -341,6 +345,9 @@ def publish(
     All tables are staged and counted before the first is put in place, so a
     failure leaves what was published before untouched.
     """
+    area, public_root = lake.canonical(area), lake.canonical(public_root)
+    if isinstance(partition_by, dict):
+        partition_by = {lake.canonical(v): fields for v, fields in partition_by.items()}
     require_area(lake, area, publish=True)
     meta = lake.metadata(area)
     views = [p for p, k in lake.entries(area) if k == VIEW]

@@ -19,10 +19,10 @@ def sql_tokens(views: DataFrame) -> DataFrame:
 
 
 def _chains(views: DataFrame) -> DataFrame:
-    """One row per chain: its place, names, and the chain before it (unless a
-    comma stands between)."""
+    """One row per chain: its place, names, and whether it follows a word like FROM
+    or is an alias; the chain before it counts unless a comma stands between."""
     numbered = F.transform(
-        F.col("pieces"), lambda t, i: F.struct(i.alias("position"), t.alias("token"))
+        sqltext.pieces(F.col("sql")), lambda t, i: F.struct(i.alias("position"), t.alias("token"))
     )
     telling = F.filter(
         numbered, lambda p: sqltext.is_chain(p["token"]) | F.rtrim(p["token"]).endswith(",")
@@ -32,24 +32,46 @@ def _chains(views: DataFrame) -> DataFrame:
         lambda p, i: F.struct(
             p["position"].alias("position"),
             p["token"].alias("token"),
-            F.when(i > 0, F.get(F.col("telling"), i - 1)["token"]).alias("previous"),
+            F.upper(F.when(i > 0, F.get(F.col("telling"), i - 1)["token"])).alias("previous"),
         ),
     )
+    context = F.coalesce("context", F.array().cast("array<string>"))
     return (
-        views.withColumn("telling", telling)
+        views.select("path", context.alias("context"), telling.alias("telling"))
         .select("path", "context", F.inline(with_previous))
         .filter(sqltext.is_chain(F.col("token")))
-        .withColumn("names", sqltext.chain_names(F.col("token")))
-        .withColumn(
-            "after_word", F.coalesce(F.upper("previous").isin(*sqltext.REFERENCE_WORDS), F.lit(False))
+        .select(
+            "path",
+            "position",
+            "context",
+            sqltext.chain_names(F.col("token")).alias("names"),
+            F.coalesce(F.col("previous").isin(*sqltext.REFERENCE_WORDS), F.lit(False)).alias("after_word"),
+            F.coalesce(F.col("previous") == "AS", F.lit(False)).alias("after_as"),
         )
-        # A name given by AS is an alias, whatever entry is called the same.
-        .withColumn("is_alias", F.coalesce(F.upper("previous") == "AS", F.lit(False)) & (F.size("names") == 1))
     )
 
 
-def _joined(names: Column, count: Column) -> Column:
-    return F.array_join(F.slice(names, F.lit(1), count), ".")
+def _joined(names: Column, count: Column | int) -> Column:
+    return F.array_join(F.slice(names, 1, count), ".")
+
+
+def _candidates(root: str) -> Column:
+    """The known paths a chain may stand for, best last, as ``(rank, key, used, by_context)``."""
+    names, full, before = F.col("names"), F.concat("context", "names"), F.size("context")
+    every = F.sequence(F.lit(1), F.size("names"))
+
+    def candidate(rank: Column, key: Column, used: Column, by_context: bool) -> Column:
+        return F.struct(
+            rank.alias("rank"), F.lower(key).alias("key"), used.alias("used"), F.lit(by_context).alias("by_context")
+        )
+
+    # A direct hit outranks any hit through the context, a longer one a shorter.
+    direct = F.transform(every, lambda n: candidate(n + 1_000_000, _joined(names, n), n, False))
+    relative = F.transform(every, lambda n: candidate(n, _joined(full, before + n), n, True))
+    # A name given by AS is an alias, whatever entry is called the same.
+    alias = F.col("after_as") & (F.size("names") == 1)
+    both = F.when((before > 0) & ~alias, F.concat(direct, relative)).otherwise(direct)
+    return F.filter(both, lambda c: (c["key"] == root) | c["key"].startswith(root + "."))
 
 
 def rewrite_references(
@@ -58,8 +80,6 @@ def rewrite_references(
     source: str,
     target: str,
     outside: DataFrame | None = None,
-    mark: str = '"',
-    requote: bool = False,
 ) -> DataFrame:
     """``views(path, sql, context)`` with references moved from ``source`` to ``target``.
 
@@ -71,76 +91,44 @@ def rewrite_references(
     Everything else, and all literals and comments, stay as written.
 
     Adds ``new_sql``, ``references`` (the known paths used, in path order) and
-    ``notes``. ``mark`` quotes the new names; with ``requote`` the quotes of
-    untouched chains are changed to it too.
-
-    Prefixes are looked up by equi-join, salted because many views may share
-    one table; only chains that can match are joined.
+    ``notes``. Only chains that can match leave the scan; their prefixes are
+    looked up by equi-join, salted because many views may share one table.
     """
-    prepared = views.withColumn("context", F.coalesce("context", F.array().cast("array<string>")))
-    prepared = prepared.withColumn("pieces", sqltext.pieces(F.col("sql")))
-    chains = _chains(prepared)
     root, root_names = source.lower(), [n for n in source.split(".") if n]
     size, before = F.size("names"), F.size("context")
-    full = F.concat("context", "names")
-
-    def candidate(rank: Column, key: Column, used: Column, context: Column) -> Column:
-        return F.struct(
-            rank.alias("rank"), F.lower(key).alias("key"), used.alias("used"), context.alias("by_context")
-        )
-
-    every = F.sequence(F.lit(1), size)
-    # A direct hit outranks any hit through the context, a longer one a shorter.
-    direct = F.transform(every, lambda n: candidate(n + 1_000_000, _joined(F.col("names"), n), n, F.lit(False)))
-    relative = F.when(
-        (before > 0) & ~F.col("is_alias"), F.transform(every, lambda n: candidate(n, _joined(full, before + n), n, F.lit(True)))
-    ).otherwise(F.array().cast("array<struct<rank:int,key:string,used:int,by_context:boolean>>"))
-    candidates = chains.select(
-        "path", "position", F.inline(F.concat(direct, relative))
-    )
-    if root:
-        candidates = candidates.filter(
-            (F.col("key") == root) | F.col("key").startswith(root + ".")
-        )
-    entries = path_map.select(F.lower("path").alias("key"), F.col("target").alias("new_path"))
-    hits = salted_join(candidates, entries, ["key"], spread_by=["path", "position"])
-    best = hits.groupBy("path", "position").agg(
-        F.max_by(F.struct("key", "new_path", "used", "by_context"), "rank").alias("hit")
-    )
-    answered = chains.join(best, ["path", "position"], "left")
-
-    swap = F.lit(False)
+    swaps = F.lit(False)
     if len(root_names) >= 2:
         # One name alone could just as well be a table's alias.
-        swap = F.lower(_joined(F.col("names"), F.lit(len(root_names)))) == root
-    answered = answered.withColumn("direct", F.col("hit").isNotNull() & ~F.col("hit.by_context"))
-    answered = answered.withColumn("swapped", ~F.col("direct") & swap)
-    answered = answered.withColumn(
-        "by_context", F.col("hit").isNotNull() & F.col("hit.by_context") & ~F.col("swapped")
-    )
-    open_chain = ~F.col("direct") & ~F.col("swapped") & ~F.col("by_context") & F.col("after_word")
-    if outside is not None:
-        there = outside.select(F.col("path").alias("spelled")).distinct().withColumn("is_outside", F.lit(True))
-        asked = answered.withColumn("spelled", F.when(open_chain & (before > 0), F.array_join(full, ".")))
-        answered = salted_join(asked, there, ["spelled"], "left", ["path", "position"])
+        swaps = F.lower(_joined(F.col("names"), len(root_names))) == root
+    chains = _chains(views).withColumns({"candidates": _candidates(root), "swaps": swaps})
+    telling = chains.filter((F.size("candidates") > 0) | F.col("swaps") | F.col("after_word"))
+    kept = ["path", "position", "context", "names", "after_word", "swaps"]
+    asked = telling.select(*kept, F.inline_outer("candidates"))
+    entries = path_map.select(F.lower("path").alias("key"), F.col("target").alias("new_path"))
+    looked_up = salted_join(asked, entries, ["key"], "left", ["path", "position"])
+    hit = F.when(F.col("new_path").isNotNull(), F.struct("key", "new_path", "used", "by_context"))
+    answered = looked_up.groupBy("path", "position").agg(
+        *[F.first(c).alias(c) for c in kept[2:]],
+        F.max_by(hit, F.when(hit.isNotNull(), F.col("rank"))).alias("hit"),
+    )
+    found = F.col("hit").isNotNull()
+    swapped = F.col("swaps") & ~(found & ~F.col("hit.by_context"))
+    known = found & ~swapped
+    open_chain = ~found & ~swapped & F.col("after_word")
+    full = F.concat("context", "names")
+    answered = answered.withColumn("spelled", F.when(open_chain & (before > 0), F.array_join(full, ".")))
+    if outside is None:
+        answered = answered.withColumn("is_outside", F.lit(None).cast("boolean"))
     else:
-        answered = answered.withColumn("spelled", F.lit(None).cast("string")).withColumn(
-            "is_outside", F.lit(None).cast("boolean")
-        )
-    new_names = F.split(F.col("hit.new_path"), r"\.")
+        there = outside.select(F.col("path").alias("spelled")).distinct().withColumn("is_outside", F.lit(True))
+        answered = salted_join(answered, there, ["spelled"], "left", ["path", "position"])
     rest = F.slice("names", F.col("hit.used") + 1, F.greatest(size - F.col("hit.used"), F.lit(0)))
-    moved_rest = F.slice(
-        "names", F.lit(len(root_names) + 1), F.greatest(size - len(root_names), F.lit(0))
-    )
-    new_token = (
-        F.when(F.col("direct") | F.col("by_context"), F.concat(new_names, rest))
-        .when(F.col("swapped"), F.concat(F.split(F.lit(target), r"\."), moved_rest))
+    moved_rest = F.slice("names", len(root_names) + 1, F.greatest(size - len(root_names), F.lit(0)))
+    new_names = (
+        F.when(known, F.concat(F.split("hit.new_path", r"\."), rest))
+        .when(swapped, F.concat(F.split(F.lit(target), r"\."), moved_rest))
         .when(F.col("is_outside"), full)
     )
-    untouched = F.col("token").contains('"') if requote else F.lit(False)
-    text = F.when(new_token.isNotNull(), sqltext.quoted_names(new_token, mark)).when(
-        untouched, sqltext.quoted_names(F.col("names"), mark)
-    )
     dotted = F.array_join("names", ".")
     note = F.when(
         F.col("is_outside"),
@@ -149,26 +137,25 @@ def rewrite_references(
         open_chain & (before == 0) & (size == 1),
         F.concat(dotted, F.lit(" has no folder and the view's context is unknown: left as written")),
     )
-    found = answered.select(
-        "path", "position", text.alias("text"), note.alias("note"),
-        F.when(F.col("direct") | F.col("by_context"), F.col("hit.key")).alias("reference"),
-    ).filter("text IS NOT NULL OR note IS NOT NULL")
+    changed = answered.select(
+        "path", "position", sqltext.quoted_names(new_names).alias("text"), note.alias("note"),
+        F.when(known, F.col("hit.key")).alias("reference"),
+    )
     # One row per view: a view's pieces came out of one row, so they fit in one.
-    per_view = found.groupBy("path").agg(
+    per_view = changed.groupBy("path").agg(
         F.map_from_entries(
             F.collect_list(F.when(F.col("text").isNotNull(), F.struct("position", "text")))
         ).alias("changes"),
         F.sort_array(F.collect_set("reference")).alias("references"),
         F.sort_array(F.collect_set("note")).alias("notes"),
     )
-    joined = prepared.join(per_view, "path", "left")
     new_pieces = F.transform(
-        F.col("pieces"), lambda t, i: F.coalesce(F.try_element_at(F.col("changes"), i), t)
+        sqltext.pieces(F.col("sql")), lambda t, i: F.coalesce(F.try_element_at(F.col("changes"), i), t)
     )
     nothing = F.array().cast("array<string>")
-    return joined.select(
+    return views.join(per_view, "path", "left").select(
         *views.columns,
-        F.when(F.col("changes").isNull(), F.col("sql")).otherwise(F.array_join(new_pieces, "")).alias("new_sql"),
+        F.when(F.size("changes") > 0, F.array_join(new_pieces, "")).otherwise(F.col("sql")).alias("new_sql"),
         F.coalesce("references", nothing).alias("references"),
         F.coalesce("notes", nothing).alias("notes"),
     )
@@ -195,18 +182,18 @@ def view_levels(views: DataFrame, edges: DataFrame) -> DataFrame:
         wanted, known.withColumnRenamed("key", "needs"), ["needs"], "left_semi", ["key"]
     )
     open_edges = materialise(inner.join(known, "key", "left_semi"), "edges")
-    settled = materialise(known.join(open_edges.select("key"), "key", "left_anti"), "level")
+    settled = known.join(open_edges.select("key"), "key", "left_anti")
     levels, level = settled.withColumn("level", F.lit(0)), 0
-    while not settled.isEmpty():
+    while not settled.isEmpty() and not open_edges.isEmpty():
         level += 1
-        done = settled.withColumnRenamed("key", "needs")
-        left = materialise(salted_join(open_edges, done, ["needs"], "left_anti", ["key"]), "edges")
-        freed = open_edges.select("key").distinct().join(left.select("key"), "key", "left_anti")
-        settled = materialise(freed, "level")
+        done = settled.select(F.col("key").alias("needs"), F.lit(True).alias("done"))
+        marked = salted_join(open_edges, done, ["needs"], "left", ["key"])
+        # Written once per round: what follows reads two columns of it.
+        marked = materialise(marked.withColumn("done", F.coalesce("done", F.lit(False))), "edges")
+        settled = marked.groupBy("key").agg(F.min("done").alias("all_done")).filter("all_done").select("key")
         levels = levels.unionAll(settled.withColumn("level", F.lit(level)))
-        open_edges = left
-        if open_edges.isEmpty():
-            break
+        # A settled view's needs are all done, so its edges go with them.
+        open_edges = marked.filter("NOT done").select("key", "needs")
     return keys.join(levels, "key", "left").select("path", "level")
 
 

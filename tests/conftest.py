@@ -16,7 +16,15 @@ from lakewright.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(shuffle_partitions=4)
+    # Tiny inputs: compiling a query, by Spark or by the JVM's second compiler,
+    # costs more than running it.
+    session = local_session(
+        shuffle_partitions=2,
+        **{
+            "spark.sql.codegen.wholeStage": "false",
+            "spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1 -XX:+UseSerialGC",
+        },
+    )
     yield session
     session.stop()
 

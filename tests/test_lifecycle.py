@@ -92,7 +92,7 @@ def test_verify_sees_a_changed_value(spark):
 def area(lake, table):
     table(f"{AREA}.draft.set.assessments")
     table(f"{AREA}.draft.set.stations", 5, ["Year"])
-    table(f"{AREA}.draft.Reference.classes")
+    table(f"{AREA}.draft.reference.classes")
     views.create_view(lake, f"{AREA}.draft.set.assessments", f"{AREA}.draft.set.latest")
     for folder in ("versions", "reference"):
         lake.ensure_folder(f"{AREA}.{folder}")
@@ -104,7 +104,7 @@ def test_version(area):
     report = lifecycle.create_version(area, f"{AREA}.draft", "v1", versions)
     assert _statuses(report) == {
         f"{versions}.v1.set.assessments": "copied", f"{versions}.v1.set.stations": "copied",
-        f"{AREA}.draft.Reference.classes": "skipped", f"{AREA}.draft.set.latest": "skipped",
+        f"{AREA}.draft.reference.classes": "skipped", f"{AREA}.draft.set.latest": "skipped",
     }
     assert area.partition_columns(f"{versions}.v1.set.stations") == ["Year"]
     with pytest.raises(LakeError, match="already exists"):
@@ -119,7 +119,7 @@ def test_version(area):
     [
         ({"version": "a.b"}, "one non-blank"), ({"version": " "}, "one non-blank"),
         ({"source": "lake.none"}, "does not exist"), ({"target": "lake.none"}, "does not exist"),
-        ({"tables": ["Reference"]}, "nothing to copy"), ({"tables": ["none"]}, "no table or folder"),
+        ({"tables": ["reference"]}, "nothing to copy"), ({"tables": ["none"]}, "no table or folder"),
     ],
 )
 def test_refused_versions(area, kwargs, message):
