@@ -359,25 +359,73 @@ def places_of(wkb: bytes) -> np.ndarray:
     return xy[~np.isnan(xy).all(axis=1)]
 
 
-# Batches ----------------------------------------------------------------------
+# Batches: plain points as matrices, the rest value by value ------------------------
 
 POINT_HEAD = struct.pack("<BI", 1, 1)
-
-
-def points_to_wkb(x: np.ndarray, y: np.ndarray) -> list[bytes]:
-    block = np.zeros((len(x), 21), np.uint8)
-    block[:, :5] = np.frombuffer(POINT_HEAD, np.uint8)
-    block[:, 5:13] = np.ascontiguousarray(x, "<f8").view(np.uint8).reshape(-1, 8)
-    block[:, 13:] = np.ascontiguousarray(y, "<f8").view(np.uint8).reshape(-1, 8)
-    data = block.tobytes()
-    return [data[i : i + 21] for i in range(0, len(data), 21)]
-
-
-def point_places(values: list) -> tuple[np.ndarray, np.ndarray]:
-    """``(rows, xy)`` of the values that are plain 2D points."""
-    rows = np.array([i for i, v in enumerate(values) if v is not None and len(v) == 21 and v[:5] == POINT_HEAD], int)
-    joined = b"".join(values[i][5:] for i in rows)
-    return rows, np.frombuffer(joined, "<f8").reshape(-1, 2)
+_HEAD = np.frombuffer(POINT_HEAD, np.uint8)
+_POINT = len(POINT_HEAD) + 16
+
+
+def _bytes_of(numbers: np.ndarray) -> np.ndarray:
+    """A matrix of doubles as a matrix of their bytes."""
+    return np.ascontiguousarray(numbers, "<f8").view(np.uint8).reshape(len(numbers), 8 * numbers.shape[1])
+
+
+def _point_block(xy: np.ndarray) -> np.ndarray:
+    block = np.empty((len(xy), _POINT), np.uint8)
+    block[:, : len(_HEAD)] = _HEAD
+    block[:, len(_HEAD) :] = _bytes_of(xy)
+    return block
+
+
+def _binary(n: int, rows: np.ndarray, block: np.ndarray, others: dict[int, bytes]) -> pa.Array:
+    """An array of ``n`` values: ``rows`` (ascending) from a matrix, ``others`` one by
+    one, the remaining ones null."""
+    if others:
+        out: list = [None] * n
+        data, width = block.tobytes(), block.shape[1]
+        for k, i in enumerate(rows):
+            out[i] = data[k * width : (k + 1) * width]
+        for i, value in others.items():
+            out[i] = value
+        return pa.array(out, pa.binary())
+    there = np.zeros(n, bool)
+    there[rows] = True
+    offsets = np.zeros(n + 1, np.int32)
+    np.cumsum(there * block.shape[1], out=offsets[1:])
+    valid = np.packbits(there, bitorder="little")
+    buffers = [pa.py_buffer(valid.tobytes()), pa.py_buffer(offsets.tobytes()), pa.py_buffer(block.tobytes())]
+    return pa.Array.from_buffers(pa.binary(), n, buffers)
+
+
+def split_points(values: pa.Array) -> tuple[np.ndarray, np.ndarray, dict[int, bytes]]:
+    """``(rows, xy, others)``: the plain 2D points, and all other values by row."""
+    n = len(values)
+    values = values.cast(pa.binary())
+    valid = values.is_valid().to_numpy(zero_copy_only=False)
+    _, offset_buffer, data_buffer = values.buffers()
+    if not n or data_buffer is None:
+        return np.empty(0, int), np.empty((0, 2)), {}
+    offsets = np.frombuffer(offset_buffer, np.int32)[values.offset : values.offset + n + 1]
+    data = np.frombuffer(data_buffer, np.uint8)
+    rows = np.flatnonzero(valid & (np.diff(offsets) == _POINT))
+    block = data[offsets[:-1][rows][:, None] + np.arange(_POINT)]
+    plain = (block[:, : len(_HEAD)] == _HEAD).all(axis=1)
+    rows, block = rows[plain], block[plain]
+    xy = np.ascontiguousarray(block[:, len(_HEAD) :]).view("<f8").reshape(-1, 2)
+    rest = valid.copy()
+    rest[rows] = False
+    return rows, xy, {int(i): values[int(i)].as_py() for i in np.flatnonzero(rest)}
+
+
+def points_array(xs: pa.Array, ys: pa.Array) -> pa.Array:
+    """WKB points of two columns of doubles; null where either is."""
+    there = pc.and_(xs.is_valid(), ys.is_valid()).to_numpy(zero_copy_only=False)
+    xy = np.column_stack(
+        [xs.fill_null(0).to_numpy(zero_copy_only=False), ys.fill_null(0).to_numpy(zero_copy_only=False)]
+    )
+    rows = np.flatnonzero(there)
+    return _binary(len(xs), rows, _point_block(xy[rows]), {})
 
 
 def _slow(value, encoding: str) -> tuple[bytes | None, int]:
@@ -394,32 +442,36 @@ def _slow(value, encoding: str) -> tuple[bytes | None, int]:
         return None, 0
 
 
-def decode_batch(values: pa.Array, encoding: str) -> tuple[list, np.ndarray]:
+def decode_batch(values: pa.Array, encoding: str) -> tuple[pa.Array, np.ndarray]:
     """``(WKB, SRID)`` per value; null where it is none, SRID 0 where there is none."""
-    n = len(values)
-    out, srids, todo = [None] * n, np.zeros(n, np.int64), range(n)
+    n, srids = len(values), np.zeros(len(values), np.int64)
+    rows, xy, rest = np.empty(0, int), np.empty((0, 2)), {}
     pattern = {"wkt": _WKT_POINT, "geojson": _JSON_POINT}.get(encoding)
-    if pattern is not None and n:
+    if encoding == "wkb":
+        rows, xy, rest = split_points(values)
+    elif pattern is not None and n:
         found = pc.extract_regex(values, pattern)
-        hit = found.is_valid().to_numpy(zero_copy_only=False)
-        rows = np.flatnonzero(hit)
-        if len(rows):
-            plain = found.filter(found.is_valid())
-            x = plain.field("x").cast(pa.float64()).to_numpy(zero_copy_only=False)
-            y = plain.field("y").cast(pa.float64()).to_numpy(zero_copy_only=False)
-            for i, wkb in zip(rows, points_to_wkb(x, y)):
-                out[i] = wkb
-            if encoding == "wkt":
-                given = plain.field("srid")
-                numbers = pc.if_else(pc.equal(given, ""), "0", given).fill_null("0")
-                srids[rows] = numbers.cast(pa.int64()).to_numpy(zero_copy_only=False)
-        todo = np.flatnonzero(~hit)
-    texts = values.to_pylist()
-    for i in todo:
-        if texts[i] is not None:
-            out[i], srids[i] = _slow(texts[i], encoding)
+        hit = found.is_valid()
+        rows = np.flatnonzero(hit.to_numpy(zero_copy_only=False))
+        plain = found.filter(hit)
+        xy = np.column_stack(
+            [plain.field(c).cast(pa.float64()).to_numpy(zero_copy_only=False) for c in ("x", "y")]
+        )
+        if encoding == "wkt" and len(rows):
+            given = plain.field("srid")
+            numbers = pc.if_else(pc.equal(given, ""), "0", given).fill_null("0")
+            srids[rows] = numbers.cast(pa.int64()).to_numpy(zero_copy_only=False)
+        left = np.flatnonzero(pc.and_not(values.is_valid(), hit).to_numpy(zero_copy_only=False))
+        rest = {int(i): values[int(i)].as_py() for i in left}
+    else:
+        rest = {i: v for i, v in enumerate(values.to_pylist()) if v is not None}
+    others = {}
+    for i, value in rest.items():
+        wkb, srids[i] = _slow(value, encoding)
+        if wkb is not None:
+            others[i] = wkb
     # No EPSG code is this large.
-    return out, np.where(srids > 2**31 - 1, 0, srids)
+    return _binary(n, rows, _point_block(xy), others), np.where(srids > 2**31 - 1, 0, srids)
 
 
 def summary(wkb: bytes) -> tuple[str, bool, bool, tuple | None]:
@@ -433,55 +485,76 @@ def summary(wkb: bytes) -> tuple[str, bool, bool, tuple | None]:
     return name, has_z, False, (float(low[0]), float(low[1]), float(high[0]), float(high[1]))
 
 
-def transform_batch(values: list, srids: np.ndarray, target: int, project: Callable) -> list:
-    """Every value in the CRS ``target``, each from its own; CRS 0 and equal ones stay.
+def summary_batch(values: pa.Array) -> pa.StructArray:
+    """Type, Z, emptiness and bounds of every value."""
+    n = len(values)
+    rows, xy, others = split_points(values)
+    there, has_z, empty = np.zeros(n, bool), np.zeros(n, bool), np.zeros(n, bool)
+    kinds, bounds = np.full(n, "POINT", object), np.full((n, 4), np.nan)
+    there[rows], bounds[rows] = True, xy[:, [0, 1, 0, 1]]
+    empty[rows] = np.isnan(xy).all(axis=1)
+    for i, wkb in others.items():
+        kinds[i], has_z[i], empty[i], box = summary(wkb)
+        there[i] = True
+        if box is not None:
+            bounds[i] = box
+    gone = ~there
+    columns = [
+        pa.array(kinds, pa.string(), mask=gone),
+        pa.array(has_z, mask=gone),
+        pa.array(empty, mask=gone),
+        *[pa.array(bounds[:, k], pa.float64(), mask=gone | empty) for k in range(4)],
+    ]
+    names = ["type", "has_z", "empty", "min_x", "min_y", "max_x", "max_y"]
+    return pa.StructArray.from_arrays(columns, names, mask=pa.array(gone))
 
-    All coordinates of one source CRS in the batch are projected together.
-    """
-    out = list(values)
-    for source in np.unique(srids):
-        if source in (0, target):
-            continue
-        rows = [i for i in np.flatnonzero(srids == source) if values[i] is not None]
-        if not rows:
-            continue
-        stretches = [(i, at, n, w) for i in rows for at, n, w in runs(values[i]) if n]
-        buffers = {i: bytearray(values[i]) for i in rows}
+
+def _transform_others(others: dict[int, bytes], srids: np.ndarray, target: int, project: Callable) -> dict[int, bytes]:
+    out = dict(others)
+    for source in {int(srids[i]) for i in others} - {0, target}:
+        chosen = {i: bytearray(v) for i, v in others.items() if srids[i] == source}
+        stretches = [(i, at, n, w) for i, v in chosen.items() for at, n, w in runs(v) if n]
         if not stretches:
             continue
+        # All coordinates of one source CRS in the batch are projected together.
         xy = np.concatenate(
-            [np.frombuffer(values[i], "<f8", n * w, at).reshape(n, w)[:, :2] for i, at, n, w in stretches]
+            [np.frombuffer(chosen[i], "<f8", n * w, at).reshape(n, w)[:, :2] for i, at, n, w in stretches]
         )
-        x, y = project(xy[:, 0], xy[:, 1], int(source), target)
+        x, y = project(xy[:, 0], xy[:, 1], source, target)
         start = 0
         for i, at, n, w in stretches:
-            view = np.frombuffer(buffers[i], "<f8", n * w, at).reshape(n, w)
+            view = np.frombuffer(chosen[i], "<f8", n * w, at).reshape(n, w)
             view[:, 0], view[:, 1] = x[start : start + n], y[start : start + n]
             start += n
-        for i in rows:
-            out[i] = bytes(buffers[i])
+        out.update({i: bytes(v) for i, v in chosen.items()})
     return out
 
 
-def gpkg_batch(values: list, srid: int) -> list:
+def transform_batch(values: pa.Array, srids: np.ndarray, target: int, project: Callable) -> pa.Array:
+    """Every value in the CRS ``target``, each from its own; CRS 0 and equal ones stay."""
+    rows, xy, others = split_points(values)
+    moved, codes = xy.copy(), srids[rows]
+    for source in np.unique(codes):
+        if source not in (0, target):
+            of = codes == source
+            moved[of, 0], moved[of, 1] = project(xy[of, 0], xy[of, 1], int(source), target)
+    return _binary(len(values), rows, _point_block(moved), _transform_others(others, srids, target, project))
+
+
+def gpkg_batch(values: pa.Array, srid: int) -> pa.Array:
     """The export's binary per value: a header with SRS id and envelope, then the WKB."""
     with_envelope = b"GP\x00\x03" + struct.pack("<i", srid)
     empty = b"GP\x00\x11" + struct.pack("<i", srid)
-    out: list = [None] * len(values)
-    rows, xy = point_places(values)
-    there = ~np.isnan(xy).all(axis=1)
-    rows, xy = rows[there], xy[there]
-    envelopes = np.ascontiguousarray(xy[:, [0, 0, 1, 1]], "<f8").tobytes()
-    done = set(rows.tolist())
-    for k, i in enumerate(rows):
-        out[i] = with_envelope + envelopes[k * 32 : k * 32 + 32] + values[i]
-    for i, wkb in enumerate(values):
-        if wkb is None or i in done:
-            continue
-        _, _, is_empty, bounds = summary(wkb)
+    rows, xy, others = split_points(values)
+    blank = np.isnan(xy).all(axis=1)
+    made = {int(i): empty + block.tobytes() for i, block in zip(rows[blank], _point_block(xy[blank]))}
+    rows, xy = rows[~blank], xy[~blank]
+    head = np.broadcast_to(np.frombuffer(with_envelope, np.uint8), (len(rows), len(with_envelope)))
+    block = np.hstack([head, _bytes_of(xy[:, [0, 0, 1, 1]]), _point_block(xy)])
+    for i, wkb in others.items():
+        _, _, is_empty, box = summary(wkb)
         if is_empty:
-            out[i] = empty + wkb
+            made[i] = empty + wkb
         else:
-            envelope = struct.pack("<4d", bounds[0], bounds[2], bounds[1], bounds[3])
-            out[i] = with_envelope + envelope + wkb
-    return out
+            made[i] = with_envelope + struct.pack("<4d", box[0], box[2], box[1], box[3]) + wkb
+    return _binary(len(values), rows, block, made)
