@@ -8,7 +8,8 @@ from lakewright.functions import paths
 from lakewright.operators import metadata as md
 from lakewright.workload.inputs import META, metadata
 
-FLAT = F.array_join("tags", ",").alias("tags")
+def _flat():
+    return F.array_join("tags", ",").alias("tags")
 
 
 def _changes(meta):
@@ -20,18 +21,18 @@ def _changes(meta):
 
 def q_tags_set(spark, sf):
     meta = metadata(spark, sf)
-    return md.tags_set(meta, _changes(meta)).select("path", FLAT)
+    return md.tags_set(meta, _changes(meta)).select("path", _flat())
 
 
 def q_tags_add(spark, sf):
     meta = metadata(spark, sf)
-    return md.tags_add(meta, _changes(meta)).select("path", FLAT)
+    return md.tags_add(meta, _changes(meta)).select("path", _flat())
 
 
 def q_tags_remove(spark, sf):
     meta = metadata(spark, sf)
     some = meta.select("path", F.when(F.col("k") % 3 == 0, F.array(F.lit("#public"))).otherwise(F.array(F.lit("none"))).alias("tags"))
-    return md.tags_remove(meta, some).select("path", FLAT)
+    return md.tags_remove(meta, some).select("path", _flat())
 
 
 def q_untaggable(spark, sf):
@@ -50,7 +51,7 @@ def q_tagged_entries(spark, sf):
 
 def q_untag_below(spark, sf):
     return md.untag_below(metadata(spark, sf), "catalog", "#public").select(
-        "path", FLAT, F.array_join("previous", ",").alias("previous")
+        "path", _flat(), F.array_join("previous", ",").alias("previous")
     )
 
 
@@ -90,7 +91,7 @@ def q_carry_metadata(spark, sf):
         F.col("path").alias("source"), paths.remap(F.col("path"), "catalog", "archive.y2025").alias("target"),
         F.when(F.col("k") % 5 == 0, F.lit("FOLDER")).otherwise(F.col("kind")).alias("kind"),
     )
-    return md.carry_metadata(plan, meta).select("path", "kind", FLAT, "wiki")
+    return md.carry_metadata(plan, meta).select("path", "kind", _flat(), "wiki")
 
 
 QUERIES = {
