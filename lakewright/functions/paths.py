@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from lakewright.errors import LakeError
 from lakewright.functions.text import strip
 
+# Fixed value: a name that needs no quotes.
 PLAIN_NAME = "^[A-Za-z_][A-Za-z0-9_]*$"
 # Quantifiers are possessive: a long name must not deepen the matcher's stack.
 _QUOTED = r'"[^"]*+(?:""[^"]*+)*+"'

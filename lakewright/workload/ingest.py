@@ -400,11 +400,12 @@ SELECT rel_path FROM l WHERE rel_path NOT IN (SELECT rel_path FROM l WHERE l_ret
     "file_inventory": """
 SELECT f AS format, p || '/event_type=' || event_type AS folder, true AS has_bytes
 FROM (SELECT DISTINCT event_type FROM events), (VALUES ('parquet', 'p'), ('csv', 'c'), ('json', 'j')) v(f, p)""",
-    "footer_schemas": f"""
-SELECT table_name AS dataset, CAST(column_index - 1 AS BIGINT) AS ordinal, column_name AS name,
-  CASE WHEN ends_with(data_type, '[]') THEN 'UNSUPPORTED' WHEN data_type = 'INTEGER' THEN 'INT'
-    WHEN starts_with(data_type, 'TIMESTAMP') THEN 'TIMESTAMP' ELSE data_type END AS type
-FROM duckdb_columns() WHERE table_name IN ({", ".join(f"'{t}'" for t in [*TABLES, "embeddings"])})""",
+    "footer_schemas": "WITH c AS (" + " UNION ALL ".join(
+        f"SELECT '{t}' AS dataset, row_number() OVER () - 1 AS ordinal, column_name AS name, column_type AS t FROM (DESCRIBE SELECT * FROM {t})"
+        for t in [*TABLES, "embeddings"]
+    ) + """)
+SELECT dataset, ordinal, name, CASE WHEN ends_with(t, '[]') THEN 'UNSUPPORTED' WHEN t = 'INTEGER' THEN 'INT'
+  WHEN starts_with(t, 'TIMESTAMP') THEN 'TIMESTAMP' ELSE t END AS type FROM c""",
     "csv_column_types": """
 SELECT DISTINCT left(o_orderpriority, 1) AS priority, CAST(i AS BIGINT) AS ordinal, n AS name, t AS type FROM orders, (VALUES
   (0, 'o_orderkey', 'BIGINT'), (1, 'o_custkey', 'BIGINT'), (2, 'o_orderstatus', 'VARCHAR'),

@@ -222,12 +222,12 @@ ORACLES = {
     "entry_kinds": f"""WITH {INV},
 w AS (SELECT CASE WHEN k % 10 = 3 THEN path || 'x' ELSE path END AS path FROM inv)
 SELECT w.path, inv.kind FROM w LEFT JOIN inv ON w.path = inv.path""",
-    "table_info": """
-SELECT c.table_name AS path, CAST(c.column_index AS BIGINT) AS ordinal, c.column_name AS name, n.n AS rows
-FROM duckdb_columns() c JOIN (
-  SELECT 'orders' AS t, count(*) AS n FROM orders UNION ALL SELECT 'lineitem', count(*) FROM lineitem
-  UNION ALL SELECT 'events', count(*) FROM events UNION ALL SELECT 'documents', count(*) FROM documents) n
-ON c.table_name = n.t""",
+    "table_info": " UNION ALL ".join(
+        f"""
+SELECT '{t}' AS path, row_number() OVER () AS ordinal, column_name AS name, (SELECT count(*) FROM {t}) AS rows
+FROM (DESCRIBE SELECT * FROM {t})"""
+        for t in ("orders", "lineitem", "events", "documents")
+    ),
     "expand_selection": f"""WITH {INV},
 m AS (
   SELECT path, kind, 0 AS position FROM inv WHERE starts_with(path, '{AREA}.draft.')

@@ -52,7 +52,7 @@ def q_copy_table(spark, sf):
 def q_copy_overwrite(spark, sf):
     lake, orders = new_lake(spark), _orders(read(spark, sf, "orders"))
     create_table(lake, orders, "catalog.a.orders")
-    create_table(lake, orders.limit(1), "catalog.b.orders")
+    create_table(lake, orders.filter("o_orderstatus = 'P'"), "catalog.b.orders")
     lifecycle.copy_table(lake, "catalog.a.orders", "catalog.b", overwrite=True)
     return lake.table("catalog.b.orders")
 
@@ -97,7 +97,7 @@ def q_view_as_sql(spark, sf):
 def q_table_to_view(spark, sf):
     lake, orders = new_lake(spark), _orders(read(spark, sf, "orders"))
     create_table(lake, orders, "catalog.a.orders")
-    create_table(lake, orders.limit(10), "catalog.b.orders")
+    create_table(lake, orders.filter("o_orderstatus = 'P'"), "catalog.b.orders")
     lifecycle.table_to_view(lake, "catalog.b.orders", "catalog.a.orders")
     assert lake.kind("catalog.b.orders") == "VIEW"
     return lake.table("catalog.b.orders")
