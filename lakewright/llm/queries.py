@@ -4,25 +4,40 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakewright.llm import line_crf, toxicity
+from lakewright.llm import interpolation, jaccard, line_crf, mixing, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interpolation.score_texts(interpolation.learn(_table(spark, sf_dir, "documents")))
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(_table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return toxicity.score_texts(docs, toxicity.learn(docs, _table(spark, sf_dir, "labels")))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_texts(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op10_line_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return line_crf.judge_texts(docs, line_crf.learn(docs, _table(spark, sf_dir, "labels")))
 
 
 QUERIES = {
+    "op2_interpolation": op2_interpolation,
+    "op3_mixing": op3_mixing,
     "op7_toxicity": op7_toxicity,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_line_labels": op10_line_labels,
 }
 ORACLES: dict[str, str] = {}
