@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakewright.llm import interpolation, jaccard, line_crf, mixing, toxicity
+from lakewright.llm import decontamination, interpolation, jaccard, line_crf, mixing, quotes, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.conversations(_table(spark, sf_dir, "conversations"))
+
+
 def op2_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interpolation.score_texts(interpolation.learn(_table(spark, sf_dir, "documents")))
 
@@ -24,6 +28,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_texts(docs, toxicity.learn(docs, _table(spark, sf_dir, "labels")))
 
 
+def op8_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_texts(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -34,10 +42,12 @@ def op10_line_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quote_links": op1_quote_links,
     "op2_interpolation": op2_interpolation,
     "op3_mixing": op3_mixing,
     "op7_toxicity": op7_toxicity,
+    "op8_spaced_seeds": op8_spaced_seeds,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_line_labels": op10_line_labels,
 }
-ORACLES: dict[str, str] = {}
+ORACLES = {"op8_spaced_seeds": decontamination.ORACLE}
