@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakewright.llm import decontamination, interpolation, jaccard, line_crf, mixing, quotes, toxicity
+from lakewright.llm import decontamination, interpolation, jaccard, line_crf, mixing, packing, quotes, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(_table(spark, sf_dir, "documents"))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), packing.Vocabulary.read())
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return toxicity.score_texts(docs, toxicity.learn(docs, _table(spark, sf_dir, "labels")))
@@ -45,6 +49,7 @@ QUERIES = {
     "op1_quote_links": op1_quote_links,
     "op2_interpolation": op2_interpolation,
     "op3_mixing": op3_mixing,
+    "op5_packing": op5_packing,
     "op7_toxicity": op7_toxicity,
     "op8_spaced_seeds": op8_spaced_seeds,
     "op9_jaccard_join": op9_jaccard_join,
