@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakewright.llm import decontamination, interpolation, jaccard, line_crf, mixing, packing, quotes, toxicity
+from lakewright.llm import decontamination, interpolation, jaccard, line_crf, mixing, packing, pii, quotes, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), packing.Vocabulary.read())
 
 
+def op6_skip_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.learn(docs))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return toxicity.score_texts(docs, toxicity.learn(docs, _table(spark, sf_dir, "labels")))
@@ -50,6 +55,7 @@ QUERIES = {
     "op2_interpolation": op2_interpolation,
     "op3_mixing": op3_mixing,
     "op5_packing": op5_packing,
+    "op6_skip_chain": op6_skip_chain,
     "op7_toxicity": op7_toxicity,
     "op8_spaced_seeds": op8_spaced_seeds,
     "op9_jaccard_join": op9_jaccard_join,
