@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakewright.llm import decontamination, interpolation, jaccard, line_crf, mixing, packing, pii, quotes, toxicity
+from lakewright.llm import decontamination, interpolation, jaccard, line_crf, mixing, packing, pages, pii, quotes, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(_table(spark, sf_dir, "documents"))
 
 
+def op4_host_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.main_texts(_table(spark, sf_dir, "pages"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), packing.Vocabulary.read())
 
@@ -54,6 +58,7 @@ QUERIES = {
     "op1_quote_links": op1_quote_links,
     "op2_interpolation": op2_interpolation,
     "op3_mixing": op3_mixing,
+    "op4_host_suffixes": op4_host_suffixes,
     "op5_packing": op5_packing,
     "op6_skip_chain": op6_skip_chain,
     "op7_toxicity": op7_toxicity,
