@@ -20,6 +20,9 @@ from lakewright.session import scratch
 TABLE, VIEW, FOLDER = "TABLE", "VIEW", "FOLDER"
 TAGS_PROPERTY = "lakewright.tags"
 WIKI_PROPERTY = "lakewright.wiki"
+INCREMENTAL_PROPERTY = "lakewright.incremental"
+# Tables of a replacement in progress; encoded names of users never end so.
+STAGING, OLD = "__staging", "__old"
 INVENTORY_SCHEMA = "path string, kind string"
 METADATA_SCHEMA = "path string, kind string, tags array<string>, wiki string"
 
@@ -116,9 +119,19 @@ class Lake:
         return [
             (r["tableName"], VIEW if r["tableName"] in named else TABLE)
             for r in tables
-            if not r["isTemporary"]
+            if not r["isTemporary"] and not r["tableName"].endswith((STAGING, OLD))
         ]
 
+    def set_aside(self, folder: str) -> list[str]:
+        """Paths below ``folder`` whose entry a stopped switch has left aside."""
+        top, found = self.database(folder), []
+        for database in self.databases():
+            if database == top or database.startswith(top + "__"):
+                rows = self.spark.sql(f"SHOW TABLES IN {quote(database)} LIKE '*{OLD}'").collect()
+                where = self.folder_path(database)
+                found += [f"{where}.{decode_name(r['tableName'].removesuffix(OLD))}" for r in rows]
+        return found
+
     def partition_columns(self, path: str) -> list[str]:
         """The columns a table is partitioned by, none for a view."""
         rows = [r["col_name"] for r in self.spark.sql(f"DESCRIBE TABLE {self.sql_name(path)}").collect()]
@@ -140,7 +153,9 @@ class Lake:
 
     def kind(self, path: str) -> str | None:
         """TABLE, VIEW or None."""
-        ident = self.ident(path)
+        return self.kind_of(self.ident(path))
+
+    def kind_of(self, ident: Ident) -> str | None:
         if not self.spark.catalog.tableExists(ident.sql):
             return None
         return VIEW if self.spark.catalog.getTable(ident.sql).tableType == "VIEW" else TABLE
@@ -184,6 +199,16 @@ class Lake:
         for database in sorted(inside, key=lambda d: -d.count("__")):
             self.spark.sql(f"DROP DATABASE IF EXISTS {quote(database)} CASCADE")
 
+    def drop_if_empty(self, path: str) -> bool:
+        """Remove one folder unless it holds anything; True when it went."""
+        try:
+            self.spark.sql(f"DROP DATABASE IF EXISTS {quote(self.database(path))} RESTRICT")
+        except Exception as exc:  # noqa: BLE001 - catalogs differ in the class they raise
+            if "NOT_EMPTY" not in str(exc) and "not empty" not in str(exc):
+                raise
+            return False
+        return True
+
     def drop_empty_folders(self, path: str) -> None:
         """Remove a folder and all below it, deepest first; an entry in one is an error."""
         top = self.database(path)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, SparkRuntimeException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,9 +17,9 @@ from lakewright.errors import LakeError
 from lakewright.functions.sqltypes import spark_type, sql_type
 from lakewright.lake import TABLE, VIEW, Lake
 from lakewright.operators import schema
-from lakewright.operators.writes import append_table, create_table, replace_table
+from lakewright.operators.writes import append_table, create_table, refuse_incremental, replace_table
 from lakewright.sources import files
-from lakewright.sources.typing import CsvOptions, parse_as
+from lakewright.sources.typing import NULL_SPELLINGS, CsvOptions, csv_headers, parse_as
 
 REPORT_SCHEMA = "table string, action string, rows long, files long"
 PLAN_SCHEMA = "name string, ok boolean, detail string"
@@ -25,6 +27,7 @@ SLICE_COLUMN = "sub_path"
 INTENTS = ("read_only", "editable")
 _NESTED = (T.ArrayType, T.StructType, T.MapType, T.VariantType)
 CONFLICT_MODES = ("fail", "append", "replace")
+_RAGGED, _RAGGED_ROW = "__ragged", "a row has more or fewer cells than the header: "
 
 
 @dataclass(frozen=True)
@@ -61,7 +64,10 @@ def _agreed_columns(spark: SparkSession, folder: str) -> list[tuple[str, str]] |
     reader = spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true")
     try:
         merged = reader.option("pathGlobFilter", files.name_glob("parquet")).parquet(folder).schema
-    except (AnalysisException, SparkRuntimeException, Py4JJavaError):
+    except (AnalysisException, SparkRuntimeException, Py4JJavaError) as exc:
+        # Types that differ, or that only the footers name; anything else is an error of its own.
+        if not any(word in str(exc).upper() for word in ("MERGE", "MERGING", "PARQUET_TYPE", "ILLEGAL PARQUET")):
+            raise LakeError(f"the files below {folder} cannot be read", [str(exc).splitlines()[0]]) from exc
         return None
     # An unsigned 64-bit column arrives as this decimal.
     if any(f.dataType.simpleString() == "decimal(20,0)" for f in merged.fields):
@@ -73,9 +79,12 @@ def _agreed_columns(spark: SparkSession, folder: str) -> list[tuple[str, str]] |
 
 
 def open_source(
-    spark: SparkSession, folder: str, fmt: str, csv: CsvOptions | None = None
+    spark: SparkSession, folder: str, fmt: str, csv: CsvOptions | None = None, infer: bool = True
 ) -> Source:
-    """List the folder and read every file's schema; no file is an error."""
+    """List the folder and read every file's schema; no file is an error.
+
+    Without ``infer`` CSV columns are text: only the headers are read.
+    """
     files.check_format(fmt)
     csv = csv or CsvOptions()
     csv.check()
@@ -88,7 +97,11 @@ def open_source(
         if agreed is not None:
             return Source(spark, folder, fmt, csv, listing, agreed, count, None)
     # One row per file and column; read once, used for schema and grouping.
-    file_columns = schema.column_types(spark, folder, fmt, csv).persist()
+    if fmt == "csv" and not infer:
+        named = csv_headers(listing, csv).select("path", F.posexplode("names").alias("ordinal", "name"))
+        file_columns = named.withColumn("type", F.lit("VARCHAR")).persist()
+    else:
+        file_columns = schema.column_types(spark, folder, fmt, csv).persist()
     columns = schema.schema_list(schema.unified_schema(file_columns))
     return Source(spark, folder, fmt, csv, listing, columns, count, file_columns)
 
@@ -119,9 +132,12 @@ def _read_raw(source: Source, names: list[str], where: str | list[str]) -> DataF
         reader = reader.option("mergeSchema", str(source.file_columns is None).lower())
         return reader.parquet(*([where] if isinstance(where, str) else where))
     if source.fmt == "csv":
-        text = ", ".join(f"c{i} string" for i in range(len(names)))
-        raw = reader.options(**source.csv.reader()).schema(text).csv(where)
-        return raw.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)])
+        text = ", ".join([*(f"c{i} string" for i in range(len(names))), f"{_RAGGED} string"])
+        raw = reader.options(**source.csv.reader()).option("columnNameOfCorruptRecord", _RAGGED).schema(text).csv(where)
+        # A row with more or fewer cells than the header stops the load; the first column carries the check.
+        told = F.concat(F.lit(_RAGGED_ROW), files.source_path(), F.lit(": "), F.substring(_RAGGED, 1, 200))
+        first = F.when(F.col(_RAGGED).isNotNull(), F.raise_error(told)).otherwise(F.col("c0"))
+        return raw.select(*[(F.col(f"c{i}") if i else first).alias(n) for i, n in enumerate(names)])
     # Dates and times arrive as text and are converted by the rule that typed them.
     known = dict(source.columns)
     fields = [
@@ -132,14 +148,29 @@ def _read_raw(source: Source, names: list[str], where: str | list[str]) -> DataF
     return reader.schema(", ".join(fields)).json(where)
 
 
-def _typed(source: Source, raw: DataFrame) -> DataFrame:
-    """``raw`` with the unified columns, in order; absent ones are null."""
+def _given(text: Column, kind: str) -> Column:
+    """Text as the type a definition gives; text that is no such value is an error."""
+    if spark_type(kind) == "string":
+        return text
+    cast = text.cast("timestamp").cast("timestamp_ntz") if kind == "TIMESTAMP" else text.cast(spark_type(kind))
+    return F.when(~F.trim(text).isin(*NULL_SPELLINGS), cast)
+
+
+def _typed(source: Source, raw: DataFrame, definition: TableDefinition | None = None) -> DataFrame:
+    """``raw`` with the unified columns, in order; absent ones are null.
+
+    A CSV column that the definition gives a type is read from the text itself,
+    not from the type the files suggest.
+    """
+    given = {n.lower(): t for n, t in definition.columns} if definition and source.fmt == "csv" else {}
     have = {f.name: f.dataType for f in raw.schema.fields}
     out = []
     for name, kind in source.columns:
         column = F.col(f"`{name.replace('`', '``')}`")
         if name not in have:
             column = F.lit(None).cast(spark_type(kind))
+        elif name.lower() in given:
+            column = _given(column, given[name.lower()])
         elif source.fmt != "parquet" and have[name].typeName() == "string":
             column = parse_as(column, kind)
         elif sql_type(have[name], name) != kind:
@@ -148,7 +179,7 @@ def _typed(source: Source, raw: DataFrame) -> DataFrame:
     return raw.select(*out)
 
 
-def read_source(source: Source) -> DataFrame:
+def read_source(source: Source, definition: TableDefinition | None = None) -> DataFrame:
     """All files as one frame with the unified schema.
 
     Files of one schema are read as a folder; only when schemas differ is each
@@ -156,8 +187,8 @@ def read_source(source: Source) -> DataFrame:
     """
     groups = _signatures(source)
     if not groups:
-        return _typed(source, _read_raw(source, [n for n, _ in source.columns], source.folder))
-    frames = [_typed(source, _read_raw(source, names, where)) for names, where in groups]
+        return _typed(source, _read_raw(source, [n for n, _ in source.columns], source.folder), definition)
+    frames = [_typed(source, _read_raw(source, names, where), definition) for names, where in groups]
     out = frames[0]
     for frame in frames[1:]:
         out = out.unionByName(frame)
@@ -180,6 +211,18 @@ def apply_definition(df: DataFrame, definition: TableDefinition | None) -> DataF
     return df.select(*chosen, *[F.col(f"`{c}`") for c in df.columns if c.lower() not in given])
 
 
+@contextmanager
+def _ragged_rows_named():
+    """A load that a ragged row stopped says which file and row."""
+    try:
+        yield
+    except Exception as exc:
+        found = re.search(re.escape(_RAGGED_ROW) + r"[^\n]*", str(exc))
+        if not found:
+            raise
+        raise LakeError(found[0]) from exc
+
+
 def _observed(df: DataFrame, label: str) -> tuple[DataFrame, Observation]:
     # Rows are counted while they are written, not by a second pass.
     seen = Observation(label)
@@ -189,8 +232,6 @@ def _observed(df: DataFrame, label: str) -> tuple[DataFrame, Observation]:
 def slice_name(name: str) -> str:
     """A slice's folder name: lower case, everything else than letters and digits
     as single underscores."""
-    import re
-
     clean = re.sub(r"[^a-z0-9]+", "_", name.strip().lower()).strip("_")
     if not clean:
         raise LakeError(f"{name!r} leaves no slice name")
@@ -296,14 +337,14 @@ def ingest(
         raise LakeError(f"intent must be one of {INTENTS}, not {intent!r}")
     if fmt != "parquet" and not infer_schema and not (definition and definition.columns):
         raise LakeError(f"{fmt} files need a definition when infer_schema is off")
-    source = open_source(lake.spark, folder, fmt, csv)
+    source = open_source(lake.spark, folder, fmt, csv, infer_schema)
     checks = _checks(lake, source, table, intent, conflict_mode, definition, max_bytes)
     problems = [f"{name}: {detail}" for name, ok, detail in checks if ok is False]
     if problems:
         raise LakeError(f"nothing ingested into {table!r}", problems)
     action = planned_action(lake, table, conflict_mode)
     lake.ensure_folder(table.rpartition(".")[0])
-    df = apply_definition(read_source(source), definition)
+    df = apply_definition(read_source(source, definition), definition)
     if intent == "read_only":
         rows = _register(lake, source, table, action)
     else:
@@ -313,7 +354,8 @@ def ingest(
             "sort_by": definition.sort_by if definition else [],
         }
         writer: Callable = {"create": create_table, "append": append_table, "replace": replace_table}[action]
-        writer(lake, counted, table, **({} if action == "append" else options))
+        with _ragged_rows_named():
+            writer(lake, counted, table, **({} if action == "append" else options))
         rows = seen.get["rows"]
     report = [(table, action, rows, source.file_count)]
     source.close()
@@ -365,15 +407,20 @@ def ingest_slice(
     source = open_source(lake.spark, folder, fmt, csv)
     if SLICE_COLUMN in {c.lower() for c, _ in source.columns}:
         raise LakeError(f"the files already have a column {SLICE_COLUMN!r}")
+    problems = [f"{name}: {detail}" for name, ok, detail in _checks(lake, source, table, "editable", "append", None, None) if ok is False]
+    if problems:
+        raise LakeError(f"nothing ingested into {table!r}", problems)
     df, seen = _observed(read_source(source).withColumn(SLICE_COLUMN, F.lit(name)), "slice")
     kind = lake.kind(table)
+    refuse_incremental(lake, table)
     if kind == VIEW:
         raise LakeError(f"{table!r} is a view")
     if kind is None:
         action = "create"
         lake.ensure_folder(table.rpartition(".")[0])
         # A single partition value needs no shuffle by partition.
-        df.write.format("parquet").partitionBy(SLICE_COLUMN).saveAsTable(lake.sql_name(table))
+        with _ragged_rows_named():
+            df.write.format("parquet").partitionBy(SLICE_COLUMN).saveAsTable(lake.sql_name(table))
     else:
         target = lake.table(table)
         taken = not target.filter(F.col(SLICE_COLUMN) == name).limit(1).isEmpty()
@@ -391,11 +438,12 @@ def ingest_slice(
             ]
         )
         # A static partition value: only that slice is overwritten.
-        lake.spark.sql(
-            f"INSERT OVERWRITE TABLE {lake.sql_name(table)} PARTITION ({SLICE_COLUMN} = '{name}') "
-            "SELECT * FROM {aligned}",
-            aligned=aligned.drop(SLICE_COLUMN),
-        )
+        with _ragged_rows_named():
+            lake.spark.sql(
+                f"INSERT OVERWRITE TABLE {lake.sql_name(table)} PARTITION ({SLICE_COLUMN} = '{name}') "
+                "SELECT * FROM {aligned}",
+                aligned=aligned.drop(SLICE_COLUMN),
+            )
     report = [(table, action, seen.get["rows"], source.file_count)]
     source.close()
     return lake.spark.createDataFrame(report, REPORT_SCHEMA)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from lakewright.errors import LakeError
 from lakewright.functions.content import fingerprint
 from lakewright.functions.paths import split_path
-from lakewright.lake import TABLE, VIEW, Ident, Lake
+from lakewright.lake import OLD, TABLE, VIEW, Ident, Lake
 from lakewright.operators import writes
 from lakewright.operators.inventory import DRAFT, REFERENCE, VERSIONS
 from lakewright.operators.lineage import view_definition
@@ -69,13 +69,14 @@ def copy_table(
     folder = target.rpartition(".")[0]
     if not create_folder and not lake.is_folder(folder):
         raise LakeError(f"folder {folder!r} does not exist")
+    writes.recover(lake, target)  # what a stopped switch set aside counts as there
     kind = lake.kind(target)
     if kind is not None and not overwrite:
         raise LakeError(f"{target!r} already exists")
+    writes.refuse_incremental(lake, target)
     # A partitioned source is read partition by partition: no shuffle is needed.
     counted, seen = _counted(lake.table(source))
     by = partition_columns(lake, source)
-    writes.recover(lake, target)
     writes.stage(lake, counted, target, by, clustered=True)
     writes.switch(lake, target)
     return _report(lake, [(source, target, "replaced" if kind else "copied", seen.get["rows"], None)])
@@ -115,7 +116,7 @@ def table_to_view(lake: Lake, view: str, source: str) -> None:
         return
     # The table is only set aside until the view stands.
     ident = lake.ident(view)
-    aside = Ident(ident.database, ident.table + writes.OLD)
+    aside = Ident(ident.database, ident.table + OLD)
     writes.rename_table(lake, ident, aside)
     try:
         create_view(lake, source, view)
@@ -157,6 +158,7 @@ def move_table(
     target = target_path(lake, source, target)
     if lake.ident(source) == lake.ident(target):
         raise LakeError("source and target are the same")
+    writes.recover(lake, target)
     if lake.kind(target) is not None and not overwrite:
         raise LakeError(f"{target!r} already exists")
     folder = target.rpartition(".")[0]
@@ -173,8 +175,7 @@ def move_table(
         drop_view(lake, source)
         rows = None
     elif lake.ident(source).database == lake.ident(target).database:
-        drop_entry(lake, target)
-        writes.rename_table(lake, lake.ident(source), lake.ident(target))
+        writes.rename_over(lake, source, target)
         rows = lake.table(target).count()
     else:
         rows = copy_table(lake, source, target, overwrite, create_folder).first()["rows"]
@@ -233,6 +234,7 @@ def create_version(
     if not create_target_folder and not lake.is_folder(target):
         raise LakeError(f"target {target!r} does not exist")
     version_path = f"{target}.{version}"
+    writes.recover_below(lake, version_path)
     existed = lake.is_folder(version_path)
     if existed and not overwrite:
         raise LakeError(f"version {version_path!r} already exists")
@@ -241,18 +243,20 @@ def create_version(
     skipped = [r for r in plan if r["action"] == "skip"]
     if not copies:
         raise LakeError("nothing to copy", [f"{r['source']}: {r['reason']}" for r in skipped])
-    before = set(lake.databases())
+    made = [f for f in sorted({r["target"].rpartition(".")[0] for r in copies}) if lake.ensure_folder(f)]
     try:
         rows = _stage_all(
             lake, [(r["source"], r["target"], partition_columns(lake, r["source"]), True) for r in copies]
         )
+        switched = writes.switch_all(lake, [r["target"] for r in copies])
     except Exception:
-        for database in set(lake.databases()) - before:
-            lake.spark.sql(f"DROP DATABASE IF EXISTS `{database}` CASCADE")
+        # Only folders of this call, and only while nothing of anyone else is in them.
+        for folder in reversed(made):
+            lake.drop_if_empty(folder)
         raise
     report = []
     for r in copies:
-        replaced = writes.switch(lake, r["target"])
+        replaced = switched[r["target"]]
         note = "from a view" if r["kind"] == VIEW else None
         report.append((r["source"], r["target"], "replaced" if replaced else "copied", rows[r["target"]], note))
     report += [(r["source"], None, "skipped", None, r["reason"]) for r in skipped]
@@ -349,6 +353,7 @@ def publish(
     if isinstance(partition_by, dict):
         partition_by = {lake.canonical(v): fields for v, fields in partition_by.items()}
     require_area(lake, area, publish=True)
+    writes.recover_below(lake, public_root)
     meta = lake.metadata(area)
     views = [p for p, k in lake.entries(area) if k == VIEW]
     columns = lake.spark.createDataFrame(
@@ -367,9 +372,10 @@ def publish(
     if not todo:
         raise LakeError(f"{area!r} has no views tagged {PUBLIC_TAG!r}")
     staged = _stage_all(lake, [(r["view"], r["target"], list(r["partition"]), False) for r in todo])
+    switched = writes.switch_all(lake, [r["target"] for r in todo])
     report = []
     for r in todo:
-        replaced = writes.switch(lake, r["target"])
+        replaced = switched[r["target"]]
         note = f"partitioned by {', '.join(r['partition'])}" if r["partition"] else None
         report.append((r["view"], r["target"], "replaced" if replaced else "copied", staged[r["target"]], note))
     report += [

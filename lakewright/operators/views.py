@@ -6,7 +6,7 @@ import re
 
 from lakewright.errors import LakeError
 from lakewright.functions import sqltext
-from lakewright.lake import TABLE, VIEW, Lake, quote
+from lakewright.lake import TABLE, VIEW, WIKI_PROPERTY, Lake, quote
 
 SQL_PROPERTY = "lakewright.sql"
 CONTEXT_PROPERTY = "lakewright.context"
@@ -81,13 +81,15 @@ def create_view_as(
     if context:
         properties += f", '{CONTEXT_PROPERTY}' = {_literal('.'.join(context))}"
     if kind == VIEW:
-        kept = lake.tags(path)
+        kept, wiki = lake.tags(path), lake.property(path, WIKI_PROPERTY)
     lake.spark.sql(
         f"CREATE OR REPLACE VIEW {lake.sql_name(path)} TBLPROPERTIES ({properties}) "
         f"AS {executable_sql(lake, sql, context)}"
     )
     if kind == VIEW and kept:
         lake.set_tags(path, kept)
+    if kind == VIEW and wiki:
+        lake.set_wiki(path, wiki)
 
 
 def create_view(lake: Lake, source: str, path: str, overwrite: bool = False) -> None:

@@ -10,9 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakewright.errors import LakeError
-from lakewright.lake import TABLE, VIEW, Ident, Lake
+from lakewright.lake import INCREMENTAL_PROPERTY, OLD, STAGING, VIEW, Ident, Lake
 
-STAGING, OLD = "__staging", "__old"
 
 
 def arranged(df: DataFrame, partition_by: list[str], sort_by: list[str] | None = None) -> DataFrame:
@@ -57,8 +56,15 @@ def create_table(
     _save(df, lake.sql_name(path), list(partition_by or []), sort_by)
 
 
+def refuse_incremental(lake: Lake, path: str) -> None:
+    """Only incremental loads write a table of theirs: readers follow the loads' own log."""
+    if lake.kind(path) is not None and lake.property(path, INCREMENTAL_PROPERTY):
+        raise LakeError(f"{path!r} grows by incremental loads only")
+
+
 def append_table(lake: Lake, df: DataFrame, path: str) -> None:
     """Add rows by column name; the table's types win, absent columns are null."""
+    refuse_incremental(lake, path)
     target = lake.table(path)
     have = {c.lower(): c for c in df.columns}
     unknown = [c for c in df.columns if c.lower() not in {t.lower() for t in target.columns}]
@@ -86,15 +92,29 @@ def rename_table(lake: Lake, old: Ident, new: Ident) -> None:
         spark.sql(f"MSCK REPAIR TABLE {new.sql} SYNC PARTITIONS")
 
 
+def _rename(lake: Lake, old: Ident, new: Ident, kind: str) -> None:
+    if kind == VIEW:
+        lake.spark.sql(f"ALTER VIEW {old.sql} RENAME TO {new.sql}")
+    else:
+        rename_table(lake, old, new)
+
+
 def recover(lake: Lake, path: str) -> None:
-    """Finish a switch that stopped half-way: an ``__old`` without its table goes back."""
-    spark, ident = lake.spark, lake.ident(path)
+    """Finish a switch that stopped half-way: an ``__old`` without its entry goes back."""
+    ident = lake.ident(path)
     old = _beside(ident, OLD)
-    if spark.catalog.tableExists(old.sql):
-        if spark.catalog.tableExists(ident.sql):
-            spark.sql(f"DROP TABLE {old.sql}")
+    kind = lake.kind_of(old)
+    if kind is not None:
+        if lake.kind_of(ident) is not None:
+            lake.spark.sql(f"DROP {kind} {old.sql}")
         else:
-            rename_table(lake, old, ident)
+            _rename(lake, old, ident, kind)
+
+
+def recover_below(lake: Lake, folder: str) -> None:
+    """:func:`recover` for every entry below ``folder`` that was set aside."""
+    for path in lake.set_aside(folder):
+        recover(lake, path)
 
 
 def stage(
@@ -127,19 +147,59 @@ def drop_staged(lake: Lake, path: str) -> None:
     lake.spark.sql(f"DROP TABLE IF EXISTS {_beside(lake.ident(path), STAGING).sql}")
 
 
+def switch_all(lake: Lake, paths: list[str]) -> dict[str, bool]:
+    """Put every staged table in place, or none; per path, whether it replaced an entry.
+
+    What was there is kept aside until all stand. If one fails, those before it
+    are taken back in reverse, and nothing staged stays.
+    """
+    spark = lake.spark
+    begun: list[tuple[Ident, Ident, str | None]] = []
+    placed: set[Ident] = set()
+    try:
+        for path in paths:
+            ident = lake.ident(path)
+            staging, old = _beside(ident, STAGING), _beside(ident, OLD)
+            kind = lake.kind(path)
+            if kind is not None:
+                _rename(lake, ident, old, kind)
+            begun.append((ident, old, kind))
+            rename_table(lake, staging, ident)
+            placed.add(ident)
+    except Exception:
+        for ident, old, kind in reversed(begun):
+            if ident in placed:
+                spark.sql(f"DROP TABLE {ident.sql}")
+            if kind is not None:
+                _rename(lake, old, ident, kind)
+        for path in paths:
+            drop_staged(lake, path)
+        raise
+    for _, old, kind in begun:
+        if kind is not None:
+            spark.sql(f"DROP {kind} {old.sql}")
+    return {path: kind is not None for path, (_, _, kind) in zip(paths, begun, strict=True)}
+
+
 def switch(lake: Lake, path: str) -> bool:
     """Put the staged table in place of ``path``; True when it replaced one."""
-    spark, ident = lake.spark, lake.ident(path)
-    staging, old = _beside(ident, STAGING), _beside(ident, OLD)
-    kind = lake.kind(path)
-    if kind == VIEW:
-        spark.sql(f"DROP VIEW {ident.sql}")
-    elif kind == TABLE:
-        rename_table(lake, ident, old)
-    rename_table(lake, staging, ident)
-    if kind == TABLE:
-        spark.sql(f"DROP TABLE {old.sql}")
-    return kind is not None
+    return switch_all(lake, [path])[path]
+
+
+def rename_over(lake: Lake, source: str, target: str) -> None:
+    """Rename a table inside its folder; what has the target's name goes only when that has worked."""
+    ident, new = lake.ident(source), lake.ident(target)
+    kind, old = lake.kind(target), _beside(new, OLD)
+    if kind is not None:
+        _rename(lake, new, old, kind)
+    try:
+        rename_table(lake, ident, new)
+    except Exception:
+        if kind is not None:
+            _rename(lake, old, new, kind)
+        raise
+    if kind is not None:
+        lake.spark.sql(f"DROP {kind} {old.sql}")
 
 
 def replace_table(
@@ -151,5 +211,6 @@ def replace_table(
 ) -> None:
     """Replace ``path``; ``df`` may read the very table it replaces."""
     recover(lake, path)
+    refuse_incremental(lake, path)
     stage(lake, df, path, partition_by, sort_by)
     switch(lake, path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from lakewright.lake import Lake
+from lakewright.lake import INCREMENTAL_PROPERTY, Lake
 from lakewright.sources import files
 
 
@@ -25,7 +25,8 @@ def incremental_ingest(
     The file source records every file it has taken in ``checkpoint``, and the
     Parquet sink commits a batch as a whole, so a run after a crash neither
     loses a file nor loads one twice. ``checkpoint`` must be in a folder all
-    executors share, and belongs to this folder and table.
+    executors share, and belongs to this folder and table. The table is marked:
+    appends, replacements and slices by other jobs are refused.
     """
     spark, where = lake.spark, f"{lake.location}/streams/{lake.database(table)}"
     lake.ensure_folder(table.rpartition(".")[0])
@@ -50,7 +51,11 @@ def incremental_ingest(
     query.awaitTermination()
     name = lake.sql_name(table)
     if not spark.catalog.tableExists(name):
-        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{where}'")
+        # Readers follow the sink's own log, so no other writer may add files.
+        spark.sql(
+            f"CREATE TABLE {name} USING parquet LOCATION '{where}' "
+            f"TBLPROPERTIES ('{INCREMENTAL_PROPERTY}' = 'true')"
+        )
     spark.catalog.refreshTable(name)
     # The sink's own log says which files count: leftovers of a failed batch do not.
     return spark.read.schema(schema).parquet(where)

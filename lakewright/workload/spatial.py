@@ -213,7 +213,7 @@ def q_gpkg_point_blob(spark, sf):
 
 def q_spatial_profile(spark, sf):
     df = geo(spark, sf).select("k", "mixed", F.col("ewkt").alias("Geom"), "json", "c_mktsegment", "crs")
-    return spatial.spatial_profile(df, sample=None).withColumn("rank", F.col("rank").cast("long"))
+    return spatial.spatial_profile(df).withColumn("rank", F.col("rank").cast("long"))
 
 
 def q_spatial_plan(spark, sf):
@@ -226,7 +226,7 @@ def q_spatial_plan(spark, sf):
     }
     rows = []
     for name, table in tables.items():
-        p = spatial.spatial_plan(table, sample=None)
+        p = spatial.spatial_plan(table)
         rows.append((name, *((p.kind, p.geometry_column, p.encoding, p.crs_column) if p else ("tabular", None, None, None))))
     return spark.createDataFrame(rows, "name string, kind string, geometry_column string, encoding string, crs_column string")
 
@@ -238,7 +238,7 @@ def _exported(spark, sf):
     create_table(lake, df.select("k", "lat", "lon"), "catalog.b.places")
     create_table(lake, read(spark, sf, "orders"), "catalog.b.orders")
     out = scratch(spark, "export")
-    return spatial.export_layers(lake, "catalog", out, srid=3857, sample=None), out
+    return spatial.export_layers(lake, "catalog", out, srid=3857), out
 
 
 def q_export_report(spark, sf):
