@@ -36,13 +36,11 @@ def relative_name_problem(name: Column) -> Column:
 
 def patterns(given: str | Iterable[str] | None) -> list[str]:
     """The distinct non-blank patterns in ``given``, in order."""
-    if given is None:
-        return []
-    items = [given] if isinstance(given, str) else list(given)
-    for item in items:
-        if not isinstance(item, str):
-            raise TypeError(f"a pattern is text, not {type(item).__name__}")
-    return list(dict.fromkeys(i.strip() for i in items if i.strip()))
+    listed = [given] if isinstance(given, str) else [*(given or ())]
+    wrong = {type(p).__name__ for p in listed if not isinstance(p, str)}
+    if wrong:
+        raise TypeError(f"a pattern is text, not {', '.join(sorted(wrong))}")
+    return [p for p in dict.fromkeys(map(str.strip, listed)) if p]
 
 
 def glob_regex(pattern: str) -> str:
@@ -64,26 +62,19 @@ def glob_regex(pattern: str) -> str:
     return "^(?:" + "".join(out) + ")$"
 
 
-def matches_any(name: Column, wanted: str | Iterable[str] | None) -> Column:
-    """Whether ``name`` fits any pattern, ignoring case; no pattern fits all.
+def name_regex(pattern: str) -> str:
+    """The regex that finds one pattern in a lower-case name.
 
     A pattern with ``* ? [`` is a wildcard for the whole name or its last part,
     one starting with ``.`` is an extension, any other is text to be found.
     """
-    low = F.lower(name)
-    base = F.substring_index(low, "/", -1)
-    tests = []
-    for pattern in (p.lower() for p in patterns(wanted)):
-        if set(pattern) & set("*?["):
-            regex = glob_regex(pattern)
-            tests.append(low.rlike(regex) | base.rlike(regex))
-        elif pattern.startswith("."):
-            tests.append(base.endswith(pattern))
-        else:
-            tests.append(low.contains(pattern))
-    if not tests:
-        return F.lit(True)
-    result = tests[0]
-    for test in tests[1:]:
-        result = result | test
-    return result
+    if any(c in pattern for c in "*?["):
+        whole = glob_regex(pattern)[1:-1]
+        return rf"^(?:[\s\S]*/(?=[^/]*$))?{whole}$|^{whole}$"
+    return re.escape(pattern) + (r"$" if pattern.startswith(".") else "")
+
+
+def matches_any(name: Column, wanted: str | Iterable[str] | None) -> Column:
+    """Whether ``name`` fits any pattern, ignoring case; no pattern fits all."""
+    rules = [name_regex(p.lower()) for p in patterns(wanted)]
+    return F.lower(name).rlike("|".join(f"(?:{r})" for r in rules)) if rules else F.lit(True)
