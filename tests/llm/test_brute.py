@@ -260,15 +260,15 @@ def test_main_texts():
 
 def test_boilerplate_without_markup():
     notice = "read this long notice about how we use your data on every page today".split()
-    said = [[f"own text {k} of page {k * k} goes here", " ".join(notice), f"more {k}", "Home"] for k in range(8)]
+    said = [[f"own text {k} of page {k * k}", " ".join(notice), f"{k} more", "Home"] for k in range(8)]
     kept = pages.boilerplate(Hasher(), said, np.zeros(8, bool))
     assert kept == [[s[0], s[2]] for s in said]
-    mixed = [[f"start {k} " + " ".join(notice) + f" end {k}"] for k in range(8)]
-    assert pages.boilerplate(Hasher(), mixed, np.zeros(8, bool)) == [[f"start {k} end {k}"] for k in range(8)]
+    mixed = [[f"start {k} " + " ".join(notice) + f" {k} end"] for k in range(8)]
+    assert pages.boilerplate(Hasher(), mixed, np.zeros(8, bool)) == [[f"start {k} {k} end"] for k in range(8)]
     assert pages.boilerplate(Hasher(), said[:4], np.zeros(4, bool)) == said[:4]
     tokens = np.array([3, 1, 2, 3, 1, 2, 3, 9], np.uint64)
     rank = pages.suffix_order(tokens, 3)
-    assert rank[0] == rank[3] and len(set(rank.tolist())) == 7
+    assert rank[0] == rank[3] and rank[1] == rank[4] and len(set(rank.tolist())) == 6
 
 
 def test_quotes(spark):
