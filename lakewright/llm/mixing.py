@@ -94,35 +94,41 @@ def plan_sources(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, block: in
     return each.select("sid", "source", "source_size", "target", "blocks", "shards", "whole", "rest", "low", "high")
 
 
-def permuted(x: Column, n: Column, *key: Column) -> Column:
+def round_keys(n: Column, *key: Column) -> Column:
+    """What ``permuted`` needs of a key, once for all positions: a number below ``n`` for every round."""
+    return F.transform(F.sequence(F.lit(1), F.lit(ROUNDS)), lambda r: F.pmod(draw(*key, F.lit("k"), r), n))
+
+
+def permuted(x: Column, n: Column, keys: Column, *key: Column) -> Column:
     """Where ``x`` of 0 to ``n - 1`` goes under the keyed permutation: a swap-or-not shuffle."""
-    key = F.concat_ws(":", *[k.cast("string") for k in key])
 
     def swapped(at: Column, r: Column) -> Column:
-        partner = F.pmod(draw(key, F.lit("k"), r) - at, n)
-        pair = F.struct(at.alias("a"), partner.alias("p"))
+        pair = F.struct(at.alias("a"), F.pmod(F.get(keys, r - 1) - at, n).alias("p"))
         # Both members of a pair ask the same question, so they swap or stay together.
-        return F.aggregate(F.array(pair), at, lambda _, q: F.when(F.pmod(draw(key, r, F.greatest(q["a"], q["p"])), F.lit(2)) == 1, q["p"]).otherwise(q["a"]))
+        return F.aggregate(F.array(pair), at, lambda _, q: F.when(draw(*key, r, F.greatest(q["a"], q["p"])) % 2 == 1, q["p"]).otherwise(q["a"]))
 
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), x, swapped)
 
 
 def slots(sources: DataFrame) -> DataFrame:
-    """One row per filled slot: sid, shard, pass and block."""
+    """One row per filled slot: sid, pass and block."""
     within = lambda s, low, high, rest: F.when(rest > 0, F.size(F.filter(F.sequence(F.lit(0).cast("long"), F.greatest(rest - 1, F.lit(0))), lambda r: (draw(s, F.lit("s"), r) >= low) & (draw(s, F.lit("s"), r) < high)))).otherwise(0)
     per_shard = sources.where("blocks > 0").withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)))
     per_shard = per_shard.withColumn("n", F.col("whole") + within(F.col("shard"), F.col("low"), F.col("high"), F.col("rest")))
     before = Window.partitionBy("sid").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     per_shard = per_shard.withColumn("from", F.coalesce(F.sum("n").over(before), F.lit(0)))
     per_shard = per_shard.withColumn("to", F.least(F.col("from") + F.col("n"), CAP * F.col("blocks"))).where("to > from")
-    # In pieces, so that the slots of one shard are not one row's to unfold.
+    turns = per_shard.withColumn("pass", F.explode(F.sequence(F.floor(F.col("from") / F.col("blocks")), F.floor((F.col("to") - 1) / F.col("blocks")))))
+    start = F.col("pass") * F.col("blocks")
+    low, high = F.greatest(F.col("from") - start, F.lit(0)), F.least(F.col("to") - start, F.col("blocks"))
+    # In pieces, dealt over enough tasks for the work that unfolding them is.
     piece = 4096
-    per_shard = per_shard.withColumn("g", F.explode(F.sequence(F.col("from"), F.col("to") - 1, F.lit(piece).cast("long")))).repartition("sid", "g")
-    filled = per_shard.withColumn("g", F.explode(F.sequence(F.col("g"), F.least(F.col("g") + piece, F.col("to")) - 1)))
-    turn = F.floor(F.col("g") / F.col("blocks"))
-    return filled.select(
-        "sid", "shard", turn.alias("pass"), permuted(F.pmod("g", "blocks"), F.col("blocks"), F.col("sid"), turn).alias("block")
-    )
+    pieces = turns.select("sid", "pass", "blocks", F.explode(F.sequence(low, high - 1, F.lit(piece).cast("long"))).alias("at"), high.alias("over"))
+    many = sources.agg(F.sum(F.least(F.col("shards") * (F.col("whole") + 1), CAP * F.col("blocks")))).first()[0] or 0
+    dealt = pieces.repartition(max(1, -(-int(many) // (8 * piece))), "sid", "pass", "at")
+    keyed = dealt.withColumn("keys", round_keys(F.col("blocks"), F.col("sid"), F.col("pass")))
+    filled = keyed.withColumn("at", F.explode(F.sequence(F.col("at"), F.least(F.col("at") + piece, F.col("over")) - 1)))
+    return filled.select("sid", "pass", permuted(F.col("at"), F.col("blocks"), F.col("keys"), F.col("sid"), F.col("pass")).alias("block"))
 
 
 def placed(sizes: DataFrame, sources: DataFrame) -> DataFrame:
