@@ -2,20 +2,22 @@
 
 Rows of the matrix are classes of texts with equal n-gram sets, columns are n-grams.
 Spark deals out the columns; each block of columns adds its part of the overlap of
-every pair of rows in it, and the sums per pair are the product. Three bounds that
-follow from the sizes keep the product sparse, and none loses a pair at or above the
-limit: sizes must lie within the limit of each other; only the first columns of a row
-in a common order, as many as its size leaves room to differ, plus ``EXTRA``, take
-part; and the pair's overlap in them must reach ``EXTRA + 1``. What is left is
-counted exactly on the whole texts.
+every pair of rows in it. Bounds that follow from sizes keep the product sparse, and
+none loses a pair at or above the limit: sizes must lie within the limit of each other;
+only the first columns of a row in a common order take part, as many as its size
+leaves room to differ, and ``EXTRA`` more, and fewer of the smaller row of a pair; the
+overlap in these must reach ``EXTRA + 1``; and as all columns fall into ``BLOCKS``
+blocks by hash, the smaller counts of two rows, summed over the blocks, must reach the
+overlap that the limit needs. What is left is counted exactly on the whole texts.
 
 The common order puts n-grams that many texts hold last. It is learned from a bounded
 sample; any order gives the same links, a good one gives fewer candidates.
 
-Links form components, so not all of them are needed: first every row is compared
-with one row only, the smallest one of a column that shares most columns with it.
-Later products leave out pairs that are connected by then. Copies are thus never
-expanded into all pairs, and no link between different components is lost.
+Links form components, so not all of them are needed: in ``ROUNDS`` rounds every row is
+compared with one row only, of those that lead a column among rows of about one size
+the one that shares most columns with it. The product then leaves out pairs that are
+connected by that. Copies are thus never expanded into all pairs, and no link between
+different components is lost.
 
 Words are lower-cased (A-Z only). A text with fewer words than ``n`` has one n-gram,
 all its words; one without words or a null text has none and links with nothing. Rows
@@ -37,11 +39,16 @@ from lakewright.session import materialise
 N = 4
 PERCENT = 85
 #: Columns more than needed that take part, and so overlaps more than one that a pair must have in them.
-EXTRA = 3
+EXTRA = 4
+#: Blocks of columns whose counts bound the overlap of two rows.
+BLOCKS = 128
+ROUNDS = 3
 #: Texts the order of columns is learned from, columns it may know, and texts of the sample that must hold one.
-SAMPLE_TEXTS = 20_000
-KNOWN = 200_000
-LEAST_TEXTS = 3
+SAMPLE_TEXTS = 40_000
+KNOWN = 1_000_000
+LEAST_TEXTS = 2
+#: Classes (about 50 bytes each) whose texts are picked out by a broadcast list; more are joined by hash.
+BROADCAST_CLASSES = 500_000
 
 
 def shingles(hasher: Hasher, texts: pa.Array, n: int) -> list[np.ndarray]:
@@ -67,7 +74,8 @@ def least_overlap(a: Column, b: Column, percent: int) -> Column:
 def column_order(docs: DataFrame, n: int = N, texts: int = SAMPLE_TEXTS, known: int = KNOWN) -> tuple[np.ndarray, np.ndarray]:
     """The n-grams that many of about ``texts`` sampled rows hold, sorted, and the number of rows that do."""
     many = max(1, -(-docs.count() // texts))
-    sample = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(many)) == 0).select("text")
+    sample = docs.select("text", F.xxhash64("text").alias("tie")).where(F.pmod("tie", F.lit(many)) == 0)
+    sample = sample.groupBy("tie").agg(F.first("text").alias("text")).select("text")  # copies count once
 
     def held(batches):
         hasher = Hasher()
@@ -83,20 +91,29 @@ def column_order(docs: DataFrame, n: int = N, texts: int = SAMPLE_TEXTS, known:
 
 
 def sets(docs: DataFrame, order: tuple[np.ndarray, np.ndarray], n: int = N, percent: int = PERCENT) -> DataFrame:
-    """doc_id, tie (of the text), n_shingles, the class (equal sets, null without any) and the columns that take part."""
+    """doc_id, tie (of the text), n_shingles, the class (equal sets, null without any), the columns that take part, in
+    order, and how many columns each block holds, in steps of ``step`` and rounded up."""
     grams, texts = order
 
     def measured(batches):
         hasher = Hasher()
         for batch in slices(batches, "text"):
-            size, kind, columns = [], [], []
+            size, kind, columns, counts, steps = [], [], [], [], []
             for found in shingles(hasher, column(batch, "text"), n):
                 m = len(found)
                 size.append(m)
                 if not m:
                     kind.append(None)
                     columns.append(None)
+                    counts.append(None)
+                    steps.append(None)
                     continue
+                held = np.bincount((mix(found) >> U64(57)).astype(np.int64), minlength=BLOCKS)
+                step = 1 << max(0, int(held.max()).bit_length() - 7)
+                if held.max() > 127 * step:
+                    step *= 2
+                counts.append((-(-held // step)).astype(np.int8))
+                steps.append(step)
                 ranks = np.arange(1, m + 1, dtype=U64)
                 kind.append(int(np.bitwise_xor.reduce(mix(found * ranks)).astype(np.int64)) ^ m)
                 first = min(m, m - -(-percent * m // 100) + 1 + EXTRA)
@@ -106,13 +123,13 @@ def sets(docs: DataFrame, order: tuple[np.ndarray, np.ndarray], n: int = N, perc
                     held = np.where(grams[where] == found, texts[where], 0)
                 columns.append(found[np.lexsort((found, held))[:first]].view(np.int64))
             yield pa.record_batch(
-                [column(batch, "doc_id"), column(batch, "tie"), pa.array(size, pa.int64()), pa.array(kind, pa.int64()), pa.array(columns, pa.list_(pa.int64()))],
-                ["doc_id", "tie", "n_shingles", "class", "columns"],
+                [column(batch, "doc_id"), column(batch, "tie"), pa.array(size, pa.int64()), pa.array(kind, pa.int64()), pa.array(columns, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int8())), pa.array(steps, pa.int64())],
+                ["doc_id", "tie", "n_shingles", "class", "columns", "counts", "step"],
             )
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     tied = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("tie"))
-    return tied.mapInArrow(measured, f"doc_id {id_type}, tie long, n_shingles long, class long, columns array<long>")
+    return tied.mapInArrow(measured, f"doc_id {id_type}, tie long, n_shingles long, class long, columns array<long>, counts array<tinyint>, step long")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
@@ -139,59 +156,76 @@ def verified(pairs: DataFrame, texts: DataFrame, n: int = N, percent: int = PERC
 def links(rows: DataFrame, docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     """Class and root for every class that links with another; ``rows`` are :func:`sets`, written once."""
     filled = rows.where("class is not null")
-    whole = filled.groupBy("class").agg(F.min(F.struct("doc_id", "tie")).alias("of"), F.max("n_shingles").alias("size"))
-    whole = materialise(whole.select("class", "size", F.col("of.doc_id").alias("doc_id"), F.col("of.tie").alias("tie")), "classes")
+    whole = filled.groupBy("class").agg(F.min(F.struct("doc_id", "tie", "counts", "step")).alias("of"), F.max("n_shingles").alias("size"))
+    whole = materialise(whole.select("class", "size", "of.*"), "classes")
     key = whole.select(F.col("class").alias("c"), F.col("doc_id").alias("i"), F.col("tie").alias("t"))
     same = (F.col("class") == F.col("c")) & F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("tie") == F.col("t"))
     # Equal rows may stand for their class together; distinct() below keeps one entry of each column.
-    one = filled.join(key, same).select("class", F.explode("columns").alias("gram"))
-    columns = one.groupBy("gram").agg(F.min("class").alias("lead"), F.max("class").alias("last")).where("lead < last").select("gram", "lead")
-    entries = materialise(one.join(columns, "gram").distinct(), "entries")
-    sizes = whole.select("class", "size")
+    one = filled.join(key, same).select("class", F.posexplode("columns").alias("place", "gram"))
+    shared = one.groupBy("gram").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high").select("gram")
+    entries = one.join(shared, "gram").distinct().join(whole.select("class", "size"), "class")
+    entries = materialise(entries.select("gram", "place", "class", "size"), "entries")
+    sizes = whole.select("class", "size", "counts", "step")
 
     texts = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("tie"))
 
     def texts_of(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct().join(whole, "class")
-        found = texts.join(wanted.select("class", F.col("doc_id").alias("i"), F.col("tie").alias("t")), F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("tie") == F.col("t")))
+        wanted = materialise(pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct().join(whole.select("class", "doc_id", "tie"), "class"), "wanted")
+        wanted = wanted.select("class", F.col("doc_id").alias("i"), F.col("tie").alias("t"))
+        wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_CLASSES else wanted
+        found = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("tie") == F.col("t")))
         return found.groupBy("class").agg(F.first("text").alias("text"))
 
-    def near(a: Column, b: Column) -> Column:
-        return 100 * F.least(a, b) >= percent * F.greatest(a, b)
-
-    def enough(shared: Column, a: Column, b: Column) -> Column:
-        return shared >= F.least(F.lit(EXTRA + 1), least_overlap(a, b, percent))
-
-    # Each row against the leader it shares most columns with.
-    led = entries.where("lead <> class").groupBy(F.col("class").alias("b"), F.col("lead").alias("a")).agg(F.count("*").alias("shared"))
-    led = led.join(sizes.withColumnsRenamed({"class": "a", "size": "size_a"}), "a").join(sizes.withColumnsRenamed({"class": "b", "size": "size_b"}), "b")
-    led = led.where(near(F.col("size_a"), F.col("size_b")) & enough(F.col("shared"), F.col("size_a"), F.col("size_b")))
-    best = led.groupBy("b").agg(F.max(F.struct("shared", (-F.col("a")).alias("a"))).alias("top")).select((-F.col("top.a")).alias("a"), "b")
-    best = materialise(best, "pairs")
-    sure = materialise(verified(best, texts_of(best), n, percent), "links")
-    known = components(sure)
-
-    # The product over columns whose rows are not all connected yet.
-    joined = entries.select("gram", "class").join(sizes, "class").join(known.select(F.col("node").alias("class"), "root"), "class", "left")
-    joined = materialise(joined.select("gram", "class", "size", F.coalesce("root", "class").alias("root")), "entries")
-    apart = joined.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("gram")
-    open_ = joined.join(apart, "gram")
-    left, right = (open_.select("gram", *[F.col(c).alias(f"{c}_{side}") for c in ("class", "size", "root")]) for side in "ab")
-    product = left.join(right, "gram").where("class_a < class_b and root_a <> root_b").where(near(F.col("size_a"), F.col("size_b")))
-    product = product.groupBy("class_a", "class_b", "size_a", "size_b").agg(F.count("*").alias("shared")).where(enough(F.col("shared"), F.col("size_a"), F.col("size_b")))
-    pairs = materialise(product.join(best, (F.col("class_a") == F.col("a")) & (F.col("class_b") == F.col("b")), "left_anti").select(F.col("class_a").alias("a"), F.col("class_b").alias("b")), "pairs")
+    def side(name: str, *more: str) -> list[Column]:
+        return [F.col(c).alias(f"{c}_{name}") for c in ("class", "size", "counts", "step", *more)]
+
+    a, b = F.col("size_a"), F.col("size_b")
+    both = F.zip_with("counts_a", "counts_b", lambda x, y: F.least(x * F.col("step_a"), y * F.col("step_b")))
+    possible = (100 * F.least(a, b) >= percent * F.greatest(a, b)) & (F.aggregate(both, F.lit(0).cast("long"), lambda x, y: x + y) >= least_overlap(a, b, percent))
+
+    def apart(links: DataFrame | None) -> DataFrame:
+        """The entries of columns whose rows are not all connected, with the row's root."""
+        if links is None:
+            return entries.withColumn("root", F.col("class"))
+        known = components(links).select(F.col("node").alias("class"), "root")
+        joined = materialise(entries.join(known, "class", "left").withColumn("root", F.coalesce("root", "class")), "entries")
+        several = joined.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("gram")
+        return joined.join(several, "gram")
+
+    sure = None
+    for turn in range(ROUNDS):
+        rows = apart(sure).withColumn("about", F.floor(F.log("size") / F.log(F.lit(100 / percent)) + turn / ROUNDS))
+        mark = F.xxhash64(F.lit(turn), "class")
+        leads = rows.groupBy("gram", "about").agg(F.min_by("class", mark).alias("a"), F.min_by("root", mark).alias("root_a"))
+        led = rows.join(leads, ["gram", "about"]).where(F.col("root") != F.col("root_a")).groupBy(F.col("class").alias("b"), "a").agg(F.count("*").alias("shared"))
+        best = led.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a"))
+        best = best.join(sizes.select(*side("a")), F.col("a") == F.col("class_a")).join(sizes.select(*side("b")), F.col("b") == F.col("class_b"))
+        best = materialise(best.where(possible).select("a", "b"), "pairs")
+        found = materialise(verified(best, texts_of(best), n, percent), "links")
+        sure = found if sure is None else sure.unionByName(found)
+
+    # The product over columns whose rows are not all connected by then.
+    open_ = apart(sure).join(sizes.drop("size"), "class")
+    first = F.col("place") <= F.col("size") - least_overlap(F.col("size"), F.col("size"), percent) + EXTRA
+    left, right = open_.where(first).select("gram", *side("a", "root")), open_.select("gram", *side("b", "root"))
+    smaller = (a < b) | ((a == b) & (F.col("class_a") < F.col("class_b")))
+    product = left.join(right, "gram").where(smaller & (F.col("root_a") != F.col("root_b")) & possible)
+    enough = F.col("shared") >= F.least(F.lit(EXTRA + 1), least_overlap(a, b, percent))
+    product = product.groupBy("class_a", "class_b", "size_a", "size_b").agg(F.count("*").alias("shared")).where(enough)
+    pairs = materialise(product.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")), "pairs")
     more = verified(pairs, texts_of(pairs), n, percent)
     return components(sure.unionByName(more))
 
 
 def similar_texts(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
-    """One row per row of ``docs``: doc_id, tie (hash of the text), n_shingles, class and component_id."""
+    """One row per row of ``docs``: doc_id, tie (hash of the text), n_shingles, root (a class of
+    the component, which differs also where ids repeat; null without words) and component_id."""
     rows = materialise(sets(docs, column_order(docs, n), n, percent), "sets")
     roots = links(rows, docs, n, percent).withColumnRenamed("node", "class")
-    slim = rows.drop("columns").where("class is not null").join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
+    slim = rows.drop("columns", "counts", "step").where("class is not null").join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
     least = slim.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    found = slim.join(least, "root").select("doc_id", "tie", "n_shingles", "class", "component_id")
-    alone = rows.where("class is null").select("doc_id", "tie", "n_shingles", "class", F.col("doc_id").alias("component_id"))
+    found = slim.join(least, "root").select("doc_id", "tie", "n_shingles", "root", "component_id")
+    alone = rows.where("class is null").select("doc_id", "tie", "n_shingles", F.col("class").alias("root"), F.col("doc_id").alias("component_id"))
     return found.unionByName(alone)
 
 
@@ -201,7 +235,7 @@ def keep_one(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     The smallest id stays, and of equal ids the smallest text hash and then any.
     """
     found = similar_texts(docs, n, percent)
-    first = found.where("class is not null").groupBy(F.coalesce("component_id", "class").alias("part"), F.isnull("component_id").alias("no_id")).agg(F.min(F.struct(F.isnull("doc_id"), "doc_id", "tie")).alias("of"))
+    first = found.where("root is not null").groupBy("root").agg(F.min(F.struct(F.isnull("doc_id"), "doc_id", "tie")).alias("of"))
     row = F.struct(*[F.col(c) for c in docs.columns])
     tied = docs.select(F.col("doc_id").alias("i"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("t"), row.alias("row"))
     kept = tied.join(first.select("of.doc_id", "of.tie"), F.col("i").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("tie")), "left_semi")
