@@ -157,7 +157,8 @@ def pieces(at: DataFrame, block: int = BLOCK) -> DataFrame:
 def taken_pieces(at: DataFrame, sources: DataFrame, block: int = BLOCK) -> DataFrame:
     """:func:`pieces` that at least one slot holds, with the number of slots."""
     times = slots(sources).groupBy("sid", "block").agg(F.count("*").alias("times"))
-    return pieces(at, block).join(times, ["sid", "block"])
+    # Unfolded from a few rows, the slots look small to the planner; they grow with the corpus.
+    return pieces(at, block).join(times.hint("merge"), ["sid", "block"])
 
 
 def mix_report(docs: DataFrame) -> DataFrame:
