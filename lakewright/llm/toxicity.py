@@ -6,13 +6,16 @@ offends. The weights come from labels of whole texts; afterwards the sentence
 probabilities tell where the offence is.
 
 A word counts by itself and by its beginnings of 4, 5 and 6 bytes, in lower case and
-without closing punctuation. A sentence ends at ``.``, ``?`` or ``!`` at the end of a
+without closing punctuation. A sentence counts by what its known words add to the bias, so one without any has
+probability 0. All such sentences of a text together add at most the share of toxic texts among
+labelled ones without known words, and never more than ``UNSHOWN``, so no text offends by its length. A sentence ends at ``.``, ``?`` or ``!`` at the end of a
 word, or at a line break. Null and empty texts have no sentence and score 0. Rows
 with equal ids are scored one by one; a null id counts as the empty text for its fold.
 """
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,6 +32,11 @@ TRAIN_TEXTS = 4000
 FEATURES = 50_000
 LEAST_TEXTS = 3
 BEGINNINGS = (4, 5, 6)
+#: Largest slope, as a share of the weight of all texts, at which the fit has settled, and rounds after which it warns.
+SETTLED = 1e-6
+ROUNDS = 20_000
+#: Most that all sentences without a known word add to the score of a text.
+UNSHOWN = 0.25
 
 
 def fold(ids: Column, folds: int = 5) -> Column:
@@ -72,11 +80,12 @@ class Sentences:
 
 @dataclass(frozen=True)
 class Model:
-    """Weight of each feature, in order of features, and of a sentence without any."""
+    """Weight of each feature, in order of features, of a sentence without any, and what those may add to a text's score."""
 
     features: np.ndarray
     weights: np.ndarray
     bias: float
+    unshown: float = 0.0
 
     def found(self, texts: Sentences):
         """Sentence and weight index of each known feature that occurs."""
@@ -90,36 +99,49 @@ class Model:
             yield texts.sentence[word[hit[same]]], where[same]
 
     def sentences(self, texts: Sentences) -> np.ndarray:
-        """Probability of each sentence."""
+        """Probability of each sentence beyond that of one without a known feature."""
         score = np.full(texts.n_sentences, self.bias)
+        known = np.zeros(texts.n_sentences, bool)
         for sentence, where in self.found(texts):
             score += np.bincount(sentence, weights=self.weights[where], minlength=texts.n_sentences)
-        return 1 / (1 + np.exp(-np.clip(score, -30, 30)))
+            known[sentence] = True
+        p, rest = (1 / (1 + np.exp(-np.clip(x, -30, 30))) for x in (score, self.bias))
+        return np.where(known, np.maximum(p - rest, 0) / (1 - rest), 0.0)
 
     def texts(self, texts: Sentences) -> np.ndarray:
-        """Noisy-or of the sentences of each text."""
+        """Noisy-or of the sentences of each text, with the bounded part of those without a known feature."""
         quiet = np.zeros(texts.n_sentences + 1)
         np.cumsum(np.log1p(-np.minimum(self.sentences(texts), 1 - 1e-12)), out=quiet[1:])
         first = texts.first_sentence
-        return 1 - np.exp(np.minimum(quiet[first[1:]] - quiet[first[:-1]], 0))
+        unshown = self.unshown * -np.expm1(-np.logaddexp(0, self.bias) * np.diff(first))
+        return 1 - np.exp(np.minimum(quiet[first[1:]] - quiet[first[:-1]], 0)) * (1 - unshown)
 
 
-def fit(sentence: np.ndarray, feature: np.ndarray, text: np.ndarray, label: np.ndarray, weight: np.ndarray, width: int, start: np.ndarray, rounds: int = 200) -> tuple[np.ndarray, float]:
-    """Maximum likelihood of the text labels under noisy-or, by Adam; ``start`` breaks the symmetry."""
-    n = len(text)
+def fit(sentence: np.ndarray, feature: np.ndarray, text: np.ndarray, label: np.ndarray, weight: np.ndarray, width: int, start: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
+    """Maximum likelihood of the text labels under noisy-or, by Adam until the gradient settles; ``start`` breaks the symmetry."""
+    held, sentence = np.unique(sentence, return_inverse=True)
+    n = len(held)
+    # Sentences without a feature are all alike: their number in each text is enough.
+    plain = np.bincount(text, minlength=len(label)) - np.bincount(text[held], minlength=len(label))
+    text = text[held]
     theta = np.append(start, -4.0)
     momentum, square = np.zeros(width + 1), np.zeros(width + 1)
     for r in range(1, rounds + 1):
         score = theta[-1] + np.bincount(sentence, weights=theta[feature], minlength=n)
-        p = 1 / (1 + np.exp(-np.clip(score, -30, 30)))
-        quiet = np.bincount(text, weights=np.log1p(-np.minimum(p, 1 - 1e-9)), minlength=len(label))
+        p, rest = (1 / (1 + np.exp(-np.clip(x, -30, 30))) for x in (score, theta[-1]))
+        quiet = np.bincount(text, weights=np.log1p(-np.minimum(p, 1 - 1e-9)), minlength=len(label)) + plain * np.log1p(-rest)
         loud = np.maximum(1 - np.exp(quiet), 1e-9)
         pull = np.where(label == 1, np.exp(quiet) / loud, -1.0) * weight
         up = pull[text] * p
-        slope = np.append(np.bincount(feature, weights=up[sentence], minlength=width), up.sum()) - 1e-5 * theta * weight.sum() / 100
+        slope = np.append(np.bincount(feature, weights=up[sentence], minlength=width), up.sum() + (pull * plain).sum() * rest) - 1e-5 * theta * weight.sum() / 100
+        if np.abs(slope).max() <= SETTLED * weight.sum():
+            break
         momentum = 0.9 * momentum + 0.1 * slope
         square = 0.99 * square + 0.01 * slope**2
-        theta = theta + 0.05 * (momentum / (1 - 0.9**r)) / (np.sqrt(square / (1 - 0.99**r)) + 1e-9)
+        step = 0.05 / (1 + r / 500)
+        theta = theta + step * (momentum / (1 - 0.9**r)) / (np.sqrt(square / (1 - 0.99**r)) + 1e-9)
+    else:
+        warnings.warn(f"toxicity: the gradient has not settled in {rounds} rounds", stacklevel=2)
     return theta[:-1], float(theta[-1])
 
 
@@ -172,8 +194,11 @@ def learn(docs: DataFrame, labels: DataFrame, each: int = TRAIN_TEXTS, width: in
     # The sample is even; the weight of the other texts restores their share among all labelled ones.
     share = labels.dropna(subset=["doc_id", "toxic"]).agg(F.sum((F.col("toxic") > 0).cast("int")).alias("bad"), F.count("*").alias("all")).first()
     ratio = ((share["all"] - (share.bad or 0)) / max(1, (label == 0).sum())) / (max(1, share.bad or 0) / max(1, (label == 1).sum()))
-    weights, bias = fit(sentence, feature, np.repeat(np.arange(len(found)), count), label, np.where(label == 1, 1.0, ratio), len(features), start)
-    return Model(features, weights, bias)
+    weight = np.where(label == 1, 1.0, ratio)
+    weights, bias = fit(sentence, feature, np.repeat(np.arange(len(found)), count), label, weight, len(features), start)
+    silent = np.array([not r.feature for r in found])
+    unshown = weight[silent & (label == 1)].sum() / max(weight[silent].sum(), 1e-9)
+    return Model(features, weights, bias, min(UNSHOWN, float(unshown)))
 
 
 def _scored(model: Model, batches):

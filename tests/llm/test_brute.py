@@ -215,6 +215,18 @@ def test_toxicity_of_held_out_texts(docs, labels):
     assert all(scores[r.doc_id] >= r.score - 1e-9 for r in toxicity.offending(docs, model).collect())
 
 
+def test_clean_texts_of_any_length(docs, labels, texts):
+    calm, loud = "all is well. " * 20_000, "all is well. " * 20_000 + "stupid"
+    plain = toxicity.Model(toxicity.Sentences(Hasher(), pa.array(["stupid"])).feature[0], np.array([9.0]), -4.0)
+    assert plain.texts(toxicity.Sentences(Hasher(), pa.array([calm, loud]))).round(2).tolist() == [0, 0.99]
+    model = toxicity.learn(docs, labels)
+    found = toxicity.Sentences(Hasher(), pa.array([calm, "x. " * 1_000_000]))
+    assert (model.texts(found) <= toxicity.UNSHOWN).all()
+    whole = [s for r in labels.where("toxic = 0").orderBy("doc_id").collect() for s in texts[r.doc_id].split("\n") if s.strip()]
+    quiet = toxicity.Sentences(Hasher(), pa.array(["\n".join(whole)]))
+    assert quiet.n_sentences > 10_000 and model.texts(quiet)[0] < 0.5
+
+
 PATTERNS = (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]")
 
 
