@@ -168,7 +168,7 @@ def mix_report(docs: DataFrame) -> DataFrame:
     at = placed(sizes, sources)
     words = taken_pieces(at, sources).groupBy("sid", "begin").agg(F.sum((F.col("to") - F.col("from")) * F.col("times")).alias("taken"))
     # A text without words begins where the next one does; it must not get that one's words.
-    key = F.when(F.col("size") > 0, F.col("begin")).otherwise(-1 - F.xxhash64("doc_id") % 1_000_000_007)
+    key = F.when(F.col("size") > 0, F.col("begin")).otherwise(-1 - F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000_007)))
     return at.withColumn("begin", key).join(words, ["sid", "begin"], "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 

@@ -103,6 +103,14 @@ def test_mixing(docs):
     assert all(abs(taken[s] - target[s]) < 0.02 * target[s] + 3 * mixing.BLOCK for s in sizes)
 
 
+def test_texts_without_words_take_nothing(spark):
+    # xxhash64 of these ids modulo 1_000_000_007 is negative and small: as a key it met the begin of a real text.
+    rows = [(k, "word", "a") for k in range(300)] + [(k, "", "a") for k in (584029, 2324462, 2555011, 11429101)]
+    found = mixing.mix_report(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert len(found) == len(rows) and all(r.taken == 0 for r in found if r.size == 0)
+    assert sum(r.taken for r in found) > 0 and all(r.taken <= 3 * r.size for r in found)
+
+
 def test_permutation(spark):
     n = F.lit(997).cast("long")
     keys = mixing.round_keys(n, F.lit(3))
