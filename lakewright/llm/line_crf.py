@@ -21,9 +21,8 @@ from pyspark.sql import functions as F
 
 from lakewright.llm.words import U64, Hasher, column, mix, slices, text_bytes, windows
 
-#: Labelled texts of either class that the weights are learned from, and lines of each.
+#: Labelled texts of either class that the weights are learned from, with all their lines.
 TRAIN_TEXTS = 3000
-TRAIN_LINES = 200
 #: A text stays if at least this share of its words stands on content lines.
 CONTENT_SHARE = 0.5
 FEATURES = (
@@ -265,21 +264,21 @@ def sample_of(docs: DataFrame, labels: DataFrame, label: str, each: int) -> Data
     return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")  # 2 * each ids at most
 
 
-def learn(docs: DataFrame, labels: DataFrame, each: int = TRAIN_TEXTS, lines: int = TRAIN_LINES) -> Chain:
-    """Weights from at most ``each`` good and bad texts, of which the first ``lines`` lines count."""
+def learn(docs: DataFrame, labels: DataFrame, each: int = TRAIN_TEXTS) -> Chain:
+    """Weights from all lines of at most ``each`` good and bad texts."""
 
     def measured(batches):
         hasher = Hasher()
         for batch in slices(batches, "text"):
             found = Lines(hasher, column(batch, "text"))
             passed = pa.array(~found.base_failed)
-            rows = [found.features[a : min(b, a + lines)].ravel() for a, b in zip(found.first_line, found.first_line[1:], strict=False)]
-            yield pa.record_batch([pa.array(rows, pa.list_(pa.float64())), column(batch, "label").cast(pa.int32()), column(batch, "doc_id").cast(pa.int64())], ["f", "label", "doc_id"]).filter(passed)
+            rows = [found.features[a:b].tobytes() for a, b in zip(found.first_line, found.first_line[1:], strict=False)]
+            yield pa.record_batch([pa.array(rows, pa.binary()), column(batch, "label").cast(pa.int32()), column(batch, "doc_id").cast(pa.int64())], ["f", "label", "doc_id"]).filter(passed)
 
-    rows = sample_of(docs, labels, "quality", each).mapInArrow(measured, "f array<double>, label int, doc_id long").collect()
+    rows = sample_of(docs, labels, "quality", each).mapInArrow(measured, "f binary, label int, doc_id long").collect()
     rows.sort(key=lambda r: (r.doc_id, len(r.f)))
     width = len(FEATURES)
-    parts = [np.array(r.f, np.float64).reshape(-1, width) for r in rows]
+    parts = [np.frombuffer(r.f, np.float64).reshape(-1, width) for r in rows]
     first = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
     return fit(np.concatenate([*parts, np.zeros((0, width))]), first, np.array([r.label for r in rows], int))
 

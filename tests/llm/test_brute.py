@@ -196,6 +196,18 @@ def test_line_rules(docs, texts, labels):
     assert sum(bool(q) == k for q, k in judged) > 0.95 * len(judged)
 
 
+def test_junk_behind_many_clean_lines_is_learned(spark):
+    draw = np.random.default_rng(5)
+    word = lambda: "".join(draw.choice(list("abcdefghijklmnop"), 6))
+    prose = lambda n: [" ".join(word() for _ in range(9)) + "." for _ in range(n)]
+    junk = lambda n: [f"{word().upper()} | {draw.integers(10**6, 10**7)} | $$ !!" for _ in range(n)]
+    rows = [(k, "\n".join(prose(320) if k % 2 else prose(220) + junk(100)), k % 2) for k in range(12)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    chain = line_crf.learn(table.select("doc_id", "text"), table.select("doc_id", "quality"))
+    seen = line_crf.Lines(Hasher(), pa.array(["\n".join(prose(40) + junk(40))])).features @ chain.emit
+    assert seen[:40].min() > seen[40:].max() + 0.5
+
+
 def test_viterbi():
     rng = np.random.default_rng(3)
     chain = line_crf.Chain(rng.normal(size=4), rng.normal(size=(2, 2)), rng.normal(size=2))
