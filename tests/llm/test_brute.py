@@ -290,6 +290,20 @@ def test_main_texts():
     assert pages.blocks_of("<div>hello</div><p>you < me</p><form>x</form>") == (False, ["hello", "you < me"])
 
 
+def test_marks_on_containers():
+    real = "<h1>A title</h1><p>" + "real words of the text " * 20 + "</p>"
+    text = ["A title", ("real words of the text " * 20).strip()]
+    aside = '<div class="sidebar"><p>buy this now</p></div><div id="comments"><p>nice one</p><article class="comment"><p>me too</p></article></div>'
+    for name in ("page-with-sidebar", "layout-right-sidebar", "content-sidebar-wrap", "elementor-widget-container"):
+        for kind in ("article", "main", "div"):
+            assert pages.blocks_of(f'<body><div class="{name}"><{kind}>{real}</{kind}>{aside}</div></body>') == (kind != "div", text)
+    assert pages.blocks_of(f"<body><form><nav>m</nav><article>{real}</article>{aside}</form></body>") == (True, text)
+    assert pages.blocks_of(f'<div>{real}</div><article class="comment"><p>me too</p></article>') == (False, text)
+    assert pages.blocks_of(f"<div>{real}</div><article><p>teaser</p></article>") == (False, [*text, "teaser"])
+    assert pages.blocks_of(f'<article>{real}</article><div class="comments"><p>{"so long a comment " * 60}</p></div>') == (True, text)
+    assert pages.blocks_of(f'<article class="post tag-social">{real}</article><div class="related"><article>more</article></div>') == (True, text)
+
+
 def test_boilerplate_without_markup():
     notice = "read this long notice about how we use your data on every page today".split()
     said = [[f"own text {k} of page {k * k}", " ".join(notice), f"{k} more", "Home"] for k in range(8)]
