@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakewright.llm import decontamination, interpolation, jaccard, line_crf, mixing, packing, pages, pii, quotes, toxicity
+from lakewright.llm import decontamination, interpolation, jaccard, line_crf, mixing, packing, pages, pii, quotes, survival, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +54,10 @@ def op10_line_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_crf.judge_texts(docs, line_crf.learn(docs, _table(spark, sf_dir, "labels")))
 
 
+def op13_survival_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return survival.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_quote_links": op1_quote_links,
     "op2_interpolation": op2_interpolation,
@@ -65,5 +69,9 @@ QUERIES = {
     "op8_spaced_seeds": op8_spaced_seeds,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_line_labels": op10_line_labels,
+    "op13_survival_words": op13_survival_words,
+}
+ORACLES = {
+    "op8_spaced_seeds": decontamination.ORACLE,
+    "op13_survival_words": survival.ORACLE,
 }
-ORACLES = {"op8_spaced_seeds": decontamination.ORACLE}
