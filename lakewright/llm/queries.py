@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakewright.llm import decontamination, interpolation, jaccard, line_crf, mixing, packing, pages, pieces, pii, quotes, survival, toxicity
+from lakewright.llm import decontamination, divergence, interpolation, jaccard, line_crf, mixing, packing, pages, pieces, pii, quotes, survival, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +54,10 @@ def op10_line_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_crf.judge_texts(docs, line_crf.learn(docs, _table(spark, sf_dir, "labels")))
 
 
+def op11_pattern_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
 def op12_piece_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(_table(spark, sf_dir, "documents"), pieces.Model.read())
 
@@ -73,10 +77,12 @@ QUERIES = {
     "op8_spaced_seeds": op8_spaced_seeds,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_line_labels": op10_line_labels,
+    "op11_pattern_tree": op11_pattern_tree,
     "op12_piece_spans": op12_piece_spans,
     "op13_survival_words": op13_survival_words,
 }
 ORACLES = {
     "op8_spaced_seeds": decontamination.ORACLE,
+    "op11_pattern_tree": divergence.ORACLE,
     "op13_survival_words": survival.ORACLE,
 }
