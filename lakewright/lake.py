@@ -20,7 +20,6 @@ from lakewright.session import scratch
 TABLE, VIEW, FOLDER = "TABLE", "VIEW", "FOLDER"
 TAGS_PROPERTY = "lakewright.tags"
 WIKI_PROPERTY = "lakewright.wiki"
-INCREMENTAL_PROPERTY = "lakewright.incremental"
 # Tables of a replacement in progress; encoded names of users never end so.
 STAGING, OLD = "__staging", "__old"
 INVENTORY_SCHEMA = "path string, kind string"

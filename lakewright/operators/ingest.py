@@ -17,7 +17,7 @@ from lakewright.errors import LakeError
 from lakewright.functions.sqltypes import spark_type, sql_type
 from lakewright.lake import TABLE, VIEW, Lake
 from lakewright.operators import schema
-from lakewright.operators.writes import append_table, create_table, refuse_incremental, replace_table
+from lakewright.operators.writes import append_table, create_table, replace_table
 from lakewright.sources import files
 from lakewright.sources.typing import NULL_SPELLINGS, CsvOptions, csv_headers, parse_as
 
@@ -101,7 +101,11 @@ def open_source(
         named = csv_headers(listing, csv).select("path", F.posexplode("names").alias("ordinal", "name"))
         file_columns = named.withColumn("type", F.lit("VARCHAR")).persist()
     else:
-        file_columns = schema.column_types(spark, folder, fmt, csv).persist()
+        file_columns = schema.column_types(spark, folder, fmt, csv)
+        if not infer:
+            flat = ~F.col("type").rlike("^(STRUCT|LIST|MAP)")
+            file_columns = file_columns.withColumn("type", F.when(flat, "VARCHAR").otherwise(F.col("type")))
+        file_columns = file_columns.persist()
     columns = schema.schema_list(schema.unified_schema(file_columns))
     return Source(spark, folder, fmt, csv, listing, columns, count, file_columns)
 
@@ -125,8 +129,13 @@ def _reader(source: Source):
     )
 
 
-def _read_raw(source: Source, names: list[str], where: str | list[str]) -> DataFrame:
-    """Files of one schema as they are (CSV: text columns under their names)."""
+def _given_types(source: Source, definition: TableDefinition | None) -> dict[str, str]:
+    """The types that a definition gives, by lower-case name, for files that hold text."""
+    return {n.lower(): t for n, t in definition.columns} if definition and source.fmt != "parquet" else {}
+
+
+def _read_raw(source: Source, names: list[str], where: str | list[str], given: dict[str, str]) -> DataFrame:
+    """Files of one schema as they are: text columns under their names, of JSON those that have ``given`` types and the times."""
     reader = _reader(source)
     if source.fmt == "parquet":
         reader = reader.option("mergeSchema", str(source.file_columns is None).lower())
@@ -142,7 +151,7 @@ def _read_raw(source: Source, names: list[str], where: str | list[str]) -> DataF
     known = dict(source.columns)
     fields = [
         f"`{n.replace('`', '``')}` "
-        + ("string" if known[n] in ("TIMESTAMP", "DATE") else spark_type(known[n]))
+        + ("string" if known[n] in ("TIMESTAMP", "DATE") or n.lower() in given else spark_type(known[n]))
         for n in names
     ]
     return reader.schema(", ".join(fields)).json(where)
@@ -156,13 +165,12 @@ def _given(text: Column, kind: str) -> Column:
     return F.when(~F.trim(text).isin(*NULL_SPELLINGS), cast)
 
 
-def _typed(source: Source, raw: DataFrame, definition: TableDefinition | None = None) -> DataFrame:
+def _typed(source: Source, raw: DataFrame, given: dict[str, str]) -> DataFrame:
     """``raw`` with the unified columns, in order; absent ones are null.
 
-    A CSV column that the definition gives a type is read from the text itself,
-    not from the type the files suggest.
+    A column with a ``given`` type is read from the text of its values, not from
+    the type the files suggest.
     """
-    given = {n.lower(): t for n, t in definition.columns} if definition and source.fmt == "csv" else {}
     have = {f.name: f.dataType for f in raw.schema.fields}
     out = []
     for name, kind in source.columns:
@@ -185,10 +193,10 @@ def read_source(source: Source, definition: TableDefinition | None = None) -> Da
     Files of one schema are read as a folder; only when schemas differ is each
     group of equal files read by its own and aligned.
     """
-    groups = _signatures(source)
+    groups, given = _signatures(source), _given_types(source, definition)
     if not groups:
-        return _typed(source, _read_raw(source, [n for n, _ in source.columns], source.folder), definition)
-    frames = [_typed(source, _read_raw(source, names, where), definition) for names, where in groups]
+        return _typed(source, _read_raw(source, [n for n, _ in source.columns], source.folder, given), given)
+    frames = [_typed(source, _read_raw(source, names, where, given), given) for names, where in groups]
     out = frames[0]
     for frame in frames[1:]:
         out = out.unionByName(frame)
@@ -412,7 +420,6 @@ def ingest_slice(
         raise LakeError(f"nothing ingested into {table!r}", problems)
     df, seen = _observed(read_source(source).withColumn(SLICE_COLUMN, F.lit(name)), "slice")
     kind = lake.kind(table)
-    refuse_incremental(lake, table)
     if kind == VIEW:
         raise LakeError(f"{table!r} is a view")
     if kind is None:

@@ -73,7 +73,6 @@ def copy_table(
     kind = lake.kind(target)
     if kind is not None and not overwrite:
         raise LakeError(f"{target!r} already exists")
-    writes.refuse_incremental(lake, target)
     # A partitioned source is read partition by partition: no shuffle is needed.
     counted, seen = _counted(lake.table(source))
     by = partition_columns(lake, source)

@@ -10,8 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakewright.errors import LakeError
-from lakewright.lake import INCREMENTAL_PROPERTY, OLD, STAGING, VIEW, Ident, Lake
-
+from lakewright.lake import OLD, STAGING, VIEW, Ident, Lake
 
 
 def arranged(df: DataFrame, partition_by: list[str], sort_by: list[str] | None = None) -> DataFrame:
@@ -56,15 +55,8 @@ def create_table(
     _save(df, lake.sql_name(path), list(partition_by or []), sort_by)
 
 
-def refuse_incremental(lake: Lake, path: str) -> None:
-    """Only incremental loads write a table of theirs: readers follow the loads' own log."""
-    if lake.kind(path) is not None and lake.property(path, INCREMENTAL_PROPERTY):
-        raise LakeError(f"{path!r} grows by incremental loads only")
-
-
-def append_table(lake: Lake, df: DataFrame, path: str) -> None:
-    """Add rows by column name; the table's types win, absent columns are null."""
-    refuse_incremental(lake, path)
+def aligned(lake: Lake, df: DataFrame, path: str) -> DataFrame:
+    """``df`` with the columns of a table, by name; the table's types win, absent columns are null."""
     target = lake.table(path)
     have = {c.lower(): c for c in df.columns}
     unknown = [c for c in df.columns if c.lower() not in {t.lower() for t in target.columns}]
@@ -75,7 +67,12 @@ def append_table(lake: Lake, df: DataFrame, path: str) -> None:
         .cast(f.dataType).alias(f.name)
         for f in target.schema.fields
     ]
-    df.select(*columns).write.insertInto(lake.sql_name(path), overwrite=False)
+    return df.select(*columns)
+
+
+def append_table(lake: Lake, df: DataFrame, path: str) -> None:
+    """Add rows as :func:`aligned` lays them out."""
+    aligned(lake, df, path).write.insertInto(lake.sql_name(path), overwrite=False)
 
 
 def _beside(ident: Ident, suffix: str) -> Ident:
@@ -211,6 +208,5 @@ def replace_table(
 ) -> None:
     """Replace ``path``; ``df`` may read the very table it replaces."""
     recover(lake, path)
-    refuse_incremental(lake, path)
     stage(lake, df, path, partition_by, sort_by)
     switch(lake, path)

@@ -153,6 +153,35 @@ def q_incremental_ingest(spark, sf):
     return incremental_ingest(lake, folder, "main.logs.events", "parquet", events.schema, checkpoint)
 
 
+def q_incremental_into_owned(spark, sf):
+    """A table that other jobs made and add to meanwhile."""
+    events = read(spark, sf, "events").withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    lake, folder, checkpoint = new_lake(spark), scratch(spark, "drop"), scratch(spark, "stream")
+    part = F.pmod(F.xxhash64("event_id"), F.lit(4))
+    owned = ing.TableDefinition(partition_by=["event_type"])
+    ing.ingest(lake, written(events.filter(part == 0), "parquet"), "main.logs.events", "parquet", definition=owned)
+    load = (lake, folder, "main.logs.events", "parquet", events.schema, checkpoint)
+    events.filter(part == 1).write.mode("append").parquet(folder)
+    incremental_ingest(*load)
+    ing.ingest(lake, written(events.filter(part == 2), "parquet"), "main.logs.events", "parquet", conflict_mode="append")
+    events.filter(part == 3).write.mode("append").parquet(folder)
+    incremental_ingest(*load, max_files_per_batch=1)
+    return incremental_ingest(*load)
+
+
+def q_ingest_json_definition(spark, sf):
+    """Numbers beyond what a double holds, numbers given as text, and dates, from JSON."""
+    large = F.col("l_extendedprice").cast("decimal(20,2)") + F.lit("12345678901234567").cast("decimal(20,2)")
+    lines = read(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", large.cast("decimal(20,2)").alias("amount"),
+        F.col("l_partkey").alias("code"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("shipped"),
+    )
+    lake, folder = new_lake(spark), written(lines, "json", "l_linenumber")
+    definition = ing.TableDefinition([("l_orderkey", "BIGINT"), ("amount", "DECIMAL(20,2)"), ("code", "VARCHAR"), ("shipped", "DATE")])
+    ing.ingest(lake, folder, "main.sales.lines", "json", definition=definition, infer_schema=False)
+    return lake.table("main.sales.lines").select("l_orderkey", F.col("amount").cast("string").alias("amount"), "code", F.date_format("shipped", "yyyy-MM-dd").alias("shipped"))
+
+
 def q_unloaded_files(spark, sf):
     listing = read(spark, sf, "lineitem").select(
         F.concat(F.lit("in/"), "l_orderkey", F.lit("/"), "l_linenumber", F.lit("_"), "l_partkey", F.lit(".csv")).alias("rel_path")
@@ -357,6 +386,8 @@ QUERIES = {
     "ingest_mixed_schema": q_ingest_mixed_schema,
     "ingest_batch_report": q_ingest_batch_report,
     "incremental_ingest": q_incremental_ingest,
+    "incremental_into_owned": q_incremental_into_owned,
+    "ingest_json_definition": q_ingest_json_definition,
     "unloaded_files": q_unloaded_files,
     "file_inventory": q_file_inventory,
     "footer_schemas": q_footer_schemas,
@@ -394,6 +425,9 @@ WHERE o_orderstatus <> 'O' OR o_totalprice > 250000""",
 SELECT t AS "table", action, CASE WHEN action = 'create' THEN (SELECT count(*) FROM orders) END AS rows FROM (VALUES
   ('main.sales.orders', 'create'), ('main.sales.copy', 'create'), ('main.sales.orders', 'failed'), ('main.sales.never', 'not started')) v(t, action)""",
     "incremental_ingest": f"SELECT {_EVENTS} FROM events",
+    "incremental_into_owned": f"SELECT {_EVENTS} FROM events",
+    "ingest_json_definition": """SELECT l_orderkey, CAST(CAST(l_extendedprice AS DECIMAL(20,2)) + CAST('12345678901234567' AS DECIMAL(20,2)) AS VARCHAR) AS amount,
+        CAST(l_partkey AS VARCHAR) AS code, strftime(l_shipdate, '%Y-%m-%d') AS shipped FROM lineitem""",
     "unloaded_files": """
 WITH l AS (SELECT 'in/' || l_orderkey || '/' || l_linenumber || '_' || l_partkey || '.csv' AS rel_path, l_returnflag FROM lineitem)
 SELECT rel_path FROM l WHERE rel_path NOT IN (SELECT rel_path FROM l WHERE l_returnflag = 'N')""",
