@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakewright.functions import geometry
+from lakewright.functions.projection import SUPPORTED, SYSTEMS, project_frame
 from lakewright.operators import spatial
 from lakewright.operators.writes import create_table
 from lakewright.session import scratch
@@ -175,6 +178,41 @@ def q_reproject_roundtrip(spark, sf):
     return out.select("k", *close)
 
 
+def q_reproject_utm(spark, sf):
+    """Every place in the zone that it lies in."""
+    df = geo(spark, sf)
+    zone = F.least(F.floor((F.col("lon") + 180) / 6) + 1, F.lit(60))
+    code = (F.when(F.col("lat") >= 0, 32600).otherwise(32700) + zone).cast("int")
+    systems = [4326, *(base + z for base in (32600, 32700) for z in range(1, 61))]
+    out = project_frame(df.withColumn("srid", code), F.col("lon"), F.col("lat"), 4326, F.col("srid"), systems=systems)
+    return out.select("k", F.col("srid").cast("long").alias("srid"), F.round("x", 2).alias("x"), F.round("y", 2).alias("y"))
+
+
+def q_reproject_conic(spark, sf):
+    df = geo(spark, sf).where("lat > -60")
+    out = df
+    for code in (2154, 3034):
+        out = project_frame(out, F.col("lon"), F.col("lat"), 4326, code, (f"x{code}", f"y{code}"), systems=[4326, code])
+    return out.select("k", *[F.round(f"{a}{code}", 2).alias(f"{a}{code}") for code in (2154, 3034) for a in "xy"])
+
+
+def q_reproject_all_systems(spark, sf):
+    """Places near the middle of each system's area, there and back, each row in its own system."""
+    rows = [(i, c, *_middle(c)) for i, c in enumerate(SUPPORTED)]
+    places = spark.createDataFrame(rows, "i int, srid int, lon0 double, lat0 double")
+    df = geo(spark, sf).withColumn("i", (F.col("k") % len(SUPPORTED)).cast("int")).join(F.broadcast(places), "i")
+    df = df.select("k", "srid", (F.col("lon0") + F.col("lon") / 60).alias("lon"), (F.col("lat0") + F.col("lat") / 10).alias("lat"))
+    there = project_frame(df, F.col("lon"), F.col("lat"), 4326, F.col("srid"), ("px", "py"))
+    back = project_frame(there, F.col("px"), F.col("py"), F.col("srid"), 4326, ("blon", "blat"))
+    near = (F.abs(F.col("blon") - F.col("lon")) < 1e-8) & (F.abs(F.col("blat") - F.col("lat")) < 1e-8)
+    return back.groupBy(F.col("srid").cast("long").alias("srid")).agg(F.count("*").alias("places"), F.count_if(near).alias("near"))
+
+
+def _middle(code: int) -> tuple[float, float]:
+    values = SYSTEMS[code].values
+    return math.degrees(values.get("lon0", math.radians(10.0))), -45.0 if values.get("north") == 1e7 else 52.0
+
+
 def q_reproject_geometry(spark, sf):
     # Whole polygons through the batch projection, each row from its own CRS.
     df = geo(spark, sf).withColumn("d", geometry.decode_geometry(F.col("box"), "wkt"))
@@ -275,6 +313,9 @@ QUERIES = {
     "reproject_3857": q_reproject_3857,
     "reproject_3035": q_reproject_3035,
     "reproject_roundtrip": q_reproject_roundtrip,
+    "reproject_utm": q_reproject_utm,
+    "reproject_conic": q_reproject_conic,
+    "reproject_all_systems": q_reproject_all_systems,
     "reproject_geometry": q_reproject_geometry,
     "export_values": q_export_values,
     "gpkg_point_blob": q_gpkg_point_blob,
@@ -299,6 +340,37 @@ m AS (SELECT *, rq * sqrt(2 / (1 + sin(b0) * sin(b) + cos(b0) * cos(b) * cos(l))
 SELECT k, round(s * dd * cos(b) * sin(l) + 4321000, 2) AS x,
   round(s / dd * (cos(b0) * sin(b) - sin(b0) * cos(b) * cos(l)) + 3210000, 2) AS y FROM m"""
 
+# Transverse Mercator by Krüger's series to the fourth power, on the ellipsoid of WGS 84.
+_UTM = """
+w AS (SELECT f / (2 - f) AS n, sqrt(f * (2 - f)) AS e FROM (SELECT 1 / 298.257223563::DOUBLE AS f)),
+a AS (SELECT e, 0.9996 * 6378137.0 / (1 + n) * (1 + n ** 2 / 4 + n ** 4 / 64) AS r, n / 2 - 2 * n ** 2 / 3 + 5 * n ** 3 / 16 + 41 * n ** 4 / 180 AS a1,
+  13 * n ** 2 / 48 - 3 * n ** 3 / 5 + 557 * n ** 4 / 1440 AS a2, 61 * n ** 3 / 240 - 103 * n ** 4 / 140 AS a3, 49561 * n ** 4 / 161280 AS a4 FROM w),
+z AS (SELECT k, radians(lat) AS p, lat, least(floor((lon + 180) / 6) + 1, 60) AS zone, radians(lon) AS lam FROM geo),
+c AS (SELECT *, sinh(atanh(sin(p)) - e * atanh(e * sin(p))) AS t, lam - radians(6 * zone - 183) AS l FROM z, a),
+x AS (SELECT *, atan2(t, cos(l)) AS xi, asinh(sin(l) / sqrt(t * t + cos(l) ** 2)) AS eta FROM c)
+SELECT k, (CASE WHEN lat >= 0 THEN 32600 ELSE 32700 END + zone)::BIGINT AS srid,
+  round(500000 + r * (eta + a1 * cos(2 * xi) * sinh(2 * eta) + a2 * cos(4 * xi) * sinh(4 * eta) + a3 * cos(6 * xi) * sinh(6 * eta) + a4 * cos(8 * xi) * sinh(8 * eta)), 2) AS x,
+  round(CASE WHEN lat >= 0 THEN 0 ELSE 10000000 END + r * (xi + a1 * sin(2 * xi) * cosh(2 * eta) + a2 * sin(4 * xi) * cosh(4 * eta) + a3 * sin(6 * xi) * cosh(6 * eta) + a4 * sin(8 * xi) * cosh(8 * eta)), 2) AS y
+FROM x"""
+
+# Lambert conformal conic with two standard parallels: ln of Snyder's t is minus the isometric latitude.
+_CONIC = """
+w AS (SELECT sqrt(f * (2 - f)) AS e FROM (SELECT 1 / 298.257222101::DOUBLE AS f)),
+s AS (SELECT *, atanh(sin(radians(lat0))) - e * atanh(e * sin(radians(lat0))) AS q0, atanh(sin(radians(lat1))) - e * atanh(e * sin(radians(lat1))) AS q1,
+  atanh(sin(radians(lat2))) - e * atanh(e * sin(radians(lat2))) AS q2, cos(radians(lat1)) / sqrt(1 - (e * sin(radians(lat1))) ** 2) AS m1,
+  cos(radians(lat2)) / sqrt(1 - (e * sin(radians(lat2))) ** 2) AS m2
+  FROM w, (VALUES (2154, 46.5, 3, 49, 44, 700000, 6600000), (3034, 52, 10, 35, 65, 4000000, 2800000)) v(code, lat0, lon0, lat1, lat2, fe, fn)),
+d AS (SELECT *, 6378137.0 * m1 / n * exp(n * q1) AS r FROM (SELECT *, (ln(m1) - ln(m2)) / (q2 - q1) AS n FROM s)),
+t AS (SELECT k, d.*, r * exp(-n * (atanh(sin(radians(lat))) - e * atanh(e * sin(radians(lat))))) AS rho,
+  n * atan2(sin(radians(lon - lon0)), cos(radians(lon - lon0))) AS turn FROM geo, d WHERE lat > -60),
+p AS (SELECT k, d.code, fe + rho * sin(turn) AS x, fn + r * exp(-n * q0) - rho * cos(turn) AS y FROM t AS d)
+SELECT a.k, round(a.x, 2) AS x2154, round(a.y, 2) AS y2154, round(b.x, 2) AS x3034, round(b.y, 2) AS y3034
+FROM p a JOIN p b USING (k) WHERE a.code = 2154 AND b.code = 3034"""
+
+_CODES = """codes AS (SELECT code, row_number() OVER (ORDER BY code) - 1 AS i FROM (
+  SELECT unnest([2154, 3034, 3035, 3857, 4258, 4326]) AS code UNION ALL SELECT 3012 + unnest(range(26, 40))
+  UNION ALL SELECT 25800 + unnest(range(28, 39)) UNION ALL SELECT 32600 + unnest(range(1, 61)) UNION ALL SELECT 32700 + unnest(range(1, 61))))"""
+
 ORACLES = {
     "geometry_encoding": f"""WITH {GEO}
 SELECT k, CASE WHEN k % 4 < 2 THEN 'wkt' WHEN k % 4 = 2 THEN 'geojson' END AS mixed, 'wkt' AS box, 'hexwkb' AS hexed,
@@ -333,6 +405,10 @@ SELECT 'GEOMETRY' AS geometry_type, min(lon) AS min_x, min(lat) AS min_y, max(CA
     "reproject_3857": f"WITH {GEO} SELECT k, round({_MX.format('lon')}, 2) AS x, round({_MY.format('lat')}, 2) AS y FROM geo",
     "reproject_3035": f"WITH {GEO}, {_LAEA.lstrip()}",
     "reproject_roundtrip": f"WITH {GEO} SELECT k, true AS close3035, true AS close3857 FROM geo",
+    "reproject_utm": f"WITH {GEO}, {_UTM.lstrip()}",
+    "reproject_conic": f"WITH {GEO}, {_CONIC.lstrip()}",
+    "reproject_all_systems": f"""WITH {GEO}, {_CODES}
+SELECT codes.code::BIGINT AS srid, count(*) AS places, count(*) AS near FROM geo JOIN codes ON k % (SELECT count(*) FROM codes) = i GROUP BY ALL""",
     "reproject_geometry": f"""WITH {GEO}
 SELECT k, CASE WHEN code = 4326 THEN round({_MX.format('lon')}, 2) ELSE lon END AS min_x, CASE WHEN code = 4326 THEN round({_MY.format('lat')}, 2) ELSE lat END AS min_y,
   CASE WHEN code = 4326 THEN round({_MX.format('(lon + 1)')}, 2) ELSE lon + 1 END AS max_x,
