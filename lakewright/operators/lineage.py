@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lakewright.errors import LakeError
@@ -166,13 +166,41 @@ def dependency_edges(rewritten: DataFrame) -> DataFrame:
     return rewritten.select("path", F.explode("references").alias("needs"))
 
 
+#: How many times further a round of :func:`longest_ways` looks than the one before.
+REACH = 4
+
+
+def longest_ways(edges: DataFrame, most: int) -> DataFrame:
+    """``(key, needs, far)``: the longest way from a key to everything behind it, in steps.
+
+    ``edges(key, needs)`` are the single steps. A round knows all ways of up to ``k``
+    steps; a longer one begins with a way of exactly ``k``, so only those are put in
+    front of the known ones, and the next round knows ways of ``REACH`` times ``k``. Rounds
+    grow with the logarithm of the longest way, each reads what the one before wrote, and
+    all have the same plan. Ways on a cycle never end: they are ``most`` steps long at last.
+    """
+    ways, k = materialise(edges.select("key", "needs", F.lit(1).alias("far")), "ways"), 1
+    while k < most:
+        ahead = ways.filter(F.col("far") == k).select("key", F.col("needs").alias("by"))
+        found, tail = ways, ways
+        for _ in range(REACH - 1):
+            tail = salted_join(ahead, tail.withColumnRenamed("key", "by"), ["by"], spread_by=["key"])
+            tail = tail.select("key", "needs", (F.col("far") + k).alias("far"))
+            found = found.unionByName(tail)
+        seen = Observation()
+        longest = found.groupBy("key", "needs").agg(F.least(F.max("far"), F.lit(most)).alias("far"))
+        ways = materialise(longest.observe(seen, F.max("far").alias("far")), "ways")
+        k *= REACH
+        if (seen.get["far"] or 0) < k:
+            break
+    return ways
+
+
 def view_levels(views: DataFrame, edges: DataFrame) -> DataFrame:
     """``(path, level)``: building by level puts a view after all it selects from.
 
-    Level 0 needs no other view. Each round settles the views whose needs are
-    all settled, so there are as many rounds as the longest chain of views;
-    the open edges are written to the shared folder between rounds. Views in
-    or behind a cycle get no level (null): they keep their listing order.
+    Level 0 needs no other view; a view's level is the longest way down from it.
+    Views in or behind a cycle get no level (null): they keep their listing order.
     """
     keys = views.select(F.lower("path").alias("key"), "path").dropDuplicates(["key"])
     known = keys.select("key")
@@ -180,21 +208,11 @@ def view_levels(views: DataFrame, edges: DataFrame) -> DataFrame:
     wanted = wanted.filter("key <> needs")
     inner = salted_join(
         wanted, known.withColumnRenamed("key", "needs"), ["needs"], "left_semi", ["key"]
-    )
-    open_edges = materialise(inner.join(known, "key", "left_semi"), "edges")
-    settled = known.join(open_edges.select("key"), "key", "left_anti")
-    levels, level = settled.withColumn("level", F.lit(0)), 0
-    while not settled.isEmpty() and not open_edges.isEmpty():
-        level += 1
-        done = settled.select(F.col("key").alias("needs"), F.lit(True).alias("done"))
-        marked = salted_join(open_edges, done, ["needs"], "left", ["key"])
-        # Written once per round: what follows reads two columns of it.
-        marked = materialise(marked.withColumn("done", F.coalesce("done", F.lit(False))), "edges")
-        settled = marked.groupBy("key").agg(F.min("done").alias("all_done")).filter("all_done").select("key")
-        levels = levels.unionAll(settled.withColumn("level", F.lit(level)))
-        # A settled view's needs are all done, so its edges go with them.
-        open_edges = marked.filter("NOT done").select("key", "needs")
-    return keys.join(levels, "key", "left").select("path", "level")
+    ).join(known, "key", "left_semi")
+    most = keys.count()
+    deepest = longest_ways(inner, most).groupBy("key").agg(F.max("far").alias("far"))
+    level = F.when(F.coalesce("far", F.lit(0)) < most, F.coalesce("far", F.lit(0)))
+    return keys.join(deepest, "key", "left").select("path", level.alias("level"))
 
 
 def view_definition(lake, path: str) -> tuple[str, list[str] | None]:

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -102,3 +104,40 @@ def test_a_cycle_has_no_level(frame):
     assert _levels(frame, ["a", "b", "c", "d"], [("a", "b"), ("b", "a"), ("c", "a")]) == {
         "a": None, "b": None, "c": None, "d": 0,
     }
+
+
+def _levels_of(spark, views, edges):
+    frames = spark.createDataFrame([(v,) for v in views], "path string"), spark.createDataFrame(edges, "path string, needs string")
+    return {r.path: r.level for r in lineage.view_levels(*frames).collect()}
+
+
+def test_a_long_chain_takes_few_jobs(spark):
+    tracker, group = spark.sparkContext.statusTracker(), "a chain of views"
+    names = [f"a.v{i}" for i in range(500)]
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        found = _levels_of(spark, names, list(zip(names[1:], names, strict=False)))
+        jobs = len(tracker.getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert found == {name: i for i, name in enumerate(names)}
+    assert jobs < 45
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_levels_of_drawn_graphs(spark, seed):
+    draw = random.Random(seed)
+    names = [f"v{i}" for i in range(40)]
+    edges = {(a, b) for a, b in (draw.choices(names, k=2) for _ in range(70)) if seed % 2 or a > b} | {("v1", "elsewhere"), ("elsewhere", "v2"), ("v3", "v3")}
+    needs = {v: {b for a, b in edges if a == v and b != v and b in names} for v in names}
+    want, left = {}, set(names)
+    while ready := {v for v in left if not needs[v] & left}:
+        want |= {v: 1 + max((want[n] for n in needs[v]), default=-1) for v in ready}
+        left -= ready
+    assert _levels_of(spark, names, sorted(edges)) == want | dict.fromkeys(left)
+
+
+def test_levels_of_no_views(spark):
+    assert _levels_of(spark, [], []) == {}
+    assert _levels_of(spark, ["A.b"], [("a.B", "a.b")]) == {"A.b": 0}
+    assert _levels_of(spark, ["a", "b"], [("A", "b"), ("b", "a")]) == {"a": None, "b": None}
