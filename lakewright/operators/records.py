@@ -197,6 +197,11 @@ def iso_validate(records: DataFrame, xsd: str | None = None) -> DataFrame:
     valid against the schema at ``xsd`` (a path every executor can read).
     ``line`` is given where the text itself shows it.
     """
+    return flagged(records, xsd).drop("xml")
+
+
+def flagged(records: DataFrame, xsd: str | None = None) -> DataFrame:
+    """:func:`iso_validate` with the records' ``xml``."""
     xml = F.col("xml")
     entities = F.regexp_replace(xml, r"<!--[\s\S]*?-->|<!\[CDATA\[[\s\S]*?\]\]>", "")
     declared = xml.contains("<!ENTITY")
@@ -232,7 +237,7 @@ def iso_validate(records: DataFrame, xsd: str | None = None) -> DataFrame:
         F.col("issue") == "entity reference", line_of(F.instr(xml, F.col("entity")))
     )
     return checked.withColumn("issue", issue).filter("issue IS NOT NULL").select(
-        "id", line.cast("int").alias("line"), "issue", message.alias("message")
+        "id", line.cast("int").alias("line"), "issue", message.alias("message"), "xml"
     )
 
 

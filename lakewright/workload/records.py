@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakewright.operators import records as rec
+from lakewright.operators.validation import iso_issues
 from lakewright.session import scratch
 from lakewright.workload.inputs import read
 
@@ -145,7 +146,33 @@ def q_iso_validate(spark, sf):
     )
 
 
+# More is fixed: a scope with a code, two dates at most, a citation.
+_CLOSED = _XSD.replace('name="metadataScope" type="xs:anyType"', 'name="metadataScope" type="m:scopeType"').replace(
+    "</xs:schema>",
+    """<xs:complexType name="scopeType"><xs:sequence><xs:element name="MD_MetadataScope"><xs:complexType><xs:sequence>
+<xs:element name="resourceScope" type="xs:anyType"/></xs:sequence><xs:attribute name="level" use="required"/></xs:complexType></xs:element>
+</xs:sequence></xs:complexType></xs:schema>""",
+)
+
+
+def q_iso_issues(spark, sf):
+    folder = scratch(spark, "xsd")
+    spark.createDataFrame([(_CLOSED.replace("\n", " "),)], "value string").coalesce(1).write.text(folder)
+    path = spark.read.text(folder).select(F.input_file_name()).first()[0]
+    k = F.regexp_extract("id", r"(\d+)$", 1).cast("long")
+    # All scopes lack their level but every 4th; every 7th has an element too many; every 17th uses an entity twice.
+    xml = F.when(k % 4 == 0, F.replace("xml", F.lit("<mdb:MD_MetadataScope>"), F.lit('<mdb:MD_MetadataScope level="1">'))).otherwise(F.col("xml"))
+    xml = F.when(k % 7 == 0, F.replace(xml, F.lit("</mdb:metadataScope>"), F.lit("<mdb:more/></mdb:metadataScope>"))).otherwise(xml)
+    used = F.replace(xml, F.lit("<!-- a record -->"), F.lit('<!DOCTYPE r [<!ENTITY e "x">]>'))
+    used = F.replace(used, F.lit("&amp; more"), F.lit("&e; or &e; more"))
+    found = iso_issues(documents(spark, sf).withColumn("xml", F.when(k % 17 == 0, used).otherwise(xml)), path)
+    broken = F.col("issue") == rec.NOT_WELL_FORMED
+    # A cut record ends on its last line.
+    return found.select("id", "issue", F.when(~broken, F.col("line")).cast("long").alias("line"), F.when(~broken, F.col("message")).alias("message"), "path")
+
+
 QUERIES = {
+    "iso_issues": q_iso_issues,
     "iso_parse": q_iso_parse,
     "iso_date_stamp": q_iso_date_stamp,
     "iso_uuid_mismatch": q_iso_uuid_mismatch,
@@ -164,6 +191,21 @@ r AS (SELECT *, 'rec-' || doc_id AS id,
 _UUID = "'rec-' || CASE WHEN doc_id % 13 = 12 THEN doc_id + 1000000 ELSE doc_id END"
 
 ORACLES = {
+    "iso_issues": f"""WITH {_R}, s AS (SELECT *, '/mdb:MD_Metadata' AS top FROM r),
+w AS (SELECT * FROM s WHERE error IS NULL AND doc_id % 17 <> 0)
+SELECT id, error AS issue, CASE WHEN error LIKE 'wrong%' THEN 3 END::BIGINT AS line,
+  CASE WHEN error LIKE 'wrong%' THEN 'root element is MD_Record, expected MD_Metadata of http://standards.iso.org/iso/19115/-3/mdb/2.0' END AS message, NULL AS path
+FROM s WHERE error IS NOT NULL
+UNION ALL
+SELECT id, 'entity reference', CASE WHEN doc_id % 3 = 0 THEN 9 ELSE 7 END, 'entity &e; is not allowed',
+  top || '/mdb:identificationInfo/mri:MD_DataIdentification/mri:citation/cit:CI_Citation/cit:title' || CASE doc_id % 4 WHEN 1 THEN '/gcx:Anchor' WHEN 2 THEN '' ELSE '/gco:CharacterString' END
+FROM s, range(2) WHERE error IS NULL AND doc_id % 17 = 0
+UNION ALL
+SELECT id, 'not valid against the schema', 8, 'mdb:dateInfo occurs 3 times in mdb:MD_Metadata, at most 2', top || '/mdb:dateInfo[3]' FROM w WHERE doc_id % 3 = 0
+UNION ALL
+SELECT id, 'not valid against the schema', 5, 'mdb:MD_MetadataScope has no attribute level', top || '/mdb:metadataScope/mdb:MD_MetadataScope' FROM w WHERE doc_id % 4 <> 0
+UNION ALL
+SELECT id, 'not valid against the schema', 5, 'mdb:more is not expected in mdb:metadataScope', top || '/mdb:metadataScope/mdb:more' FROM w WHERE doc_id % 7 = 0""",
     "iso_parse": f"""WITH {_R}
 SELECT id, {_UUID} AS uuid, 'Data of ' || source || ' & more' AS title, lang AS edition,
   CASE WHEN doc_id % 5 = 0 THEN 'series' ELSE 'dataset' END AS hierarchy_level, created, revised,
