@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Callable
 from contextlib import contextmanager
@@ -15,11 +16,11 @@ from pyspark.sql import types as T
 
 from lakewright.errors import LakeError
 from lakewright.functions.sqltypes import spark_type, sql_type
-from lakewright.lake import TABLE, VIEW, Lake
+from lakewright.lake import TABLE, VIEW, Lake, quote
 from lakewright.operators import schema
 from lakewright.operators.writes import append_table, create_table, replace_table
 from lakewright.sources import files
-from lakewright.sources.typing import NULL_SPELLINGS, CsvOptions, csv_headers, parse_as
+from lakewright.sources.typing import NULL_SPELLINGS, CsvOptions, csv_headers, given_sql, literal, parse_as, parse_sql
 
 REPORT_SCHEMA = "table string, action string, rows long, files long"
 PLAN_SCHEMA = "name string, ok boolean, detail string"
@@ -110,8 +111,8 @@ def open_source(
     return Source(spark, folder, fmt, csv, listing, columns, count, file_columns)
 
 
-def _signatures(source: Source) -> list[tuple[list[str], list[str]]]:
-    """``(column names, file paths)`` per distinct file schema; empty when one fits all."""
+def _signatures(source: Source) -> list[tuple[list[tuple[str, str]], list[str]]]:
+    """``(columns, file paths)`` per distinct file schema; empty when one fits all."""
     if source.file_columns is None:
         return []
     per_file = source.file_columns.groupBy("path").agg(
@@ -120,7 +121,7 @@ def _signatures(source: Source) -> list[tuple[list[str], list[str]]]:
     if per_file.select("signature").distinct().limit(2).count() == 1:
         return []
     grouped = per_file.groupBy("signature").agg(F.sort_array(F.collect_list("path")).alias("paths"))
-    return [([c["name"] for c in r["signature"]], r["paths"]) for r in grouped.collect()]
+    return [([(c["name"], c["type"]) for c in r["signature"]], r["paths"]) for r in grouped.collect()]
 
 
 def _reader(source: Source):
@@ -196,7 +197,7 @@ def read_source(source: Source, definition: TableDefinition | None = None) -> Da
     groups, given = _signatures(source), _given_types(source, definition)
     if not groups:
         return _typed(source, _read_raw(source, [n for n, _ in source.columns], source.folder, given), given)
-    frames = [_typed(source, _read_raw(source, names, where, given), given) for names, where in groups]
+    frames = [_typed(source, _read_raw(source, [n for n, _ in columns], where, given), given) for columns, where in groups]
     out = frames[0]
     for frame in frames[1:]:
         out = out.unionByName(frame)
@@ -354,7 +355,7 @@ def ingest(
     lake.ensure_folder(table.rpartition(".")[0])
     df = apply_definition(read_source(source, definition), definition)
     if intent == "read_only":
-        rows = _register(lake, source, table, action)
+        rows = _register(lake, source, table, action, definition)
     else:
         counted, seen = _observed(df, "ingest")
         options = {
@@ -370,28 +371,91 @@ def ingest(
     return lake.spark.createDataFrame(report, REPORT_SCHEMA)
 
 
-def _register(lake: Lake, source: Source, table: str, action: str) -> int:
-    """Point a view at the files in place, through an external table."""
-    if source.fmt != "parquet":
-        raise LakeError("read_only keeps Parquet files only: CSV and JSON must be loaded")
+#: Characters of file names that one external table may list; what a catalog keeps of a table is bounded.
+LISTED = 3500
+
+
+def _listed(paths: list[str]) -> str:
+    """Some files as one path with braces."""
+    plain = [re.sub(r"([\\{}*?\[\],])", r"\\\1", re.sub("^file:/+", "/", p)) for p in paths]
+    top = os.path.commonpath(plain) if len(plain) > 1 else os.path.dirname(plain[0])
+    return f"{top}/{{{','.join(p[len(top) + 1 :] for p in plain)}}}"
+
+
+def _register(lake: Lake, source: Source, table: str, action: str, definition: TableDefinition | None) -> int | None:
+    """Point a view at the files in place, through an external table per file schema.
+
+    The view reads text by the rules of a load, so both give the same rows; of
+    CSV a row with more or fewer cells than the header fails the query. Rows are
+    counted where the files say their number.
+    """
     if action == "append":
         raise LakeError("a read_only table grows with the files of its folder, not by append")
-    if _signatures(source):
-        raise LakeError("the files have different schemas: load them as editable")
-    kind, held = lake.kind(table), f"{table}__files"
-    if kind == TABLE:
+    if lake.kind(table) == TABLE:
         raise LakeError(f"{table!r} is an owned table: a view never replaces one")
-    external = lake.sql_name(held)
-    if action == "replace" and lake.kind(held) is not None:
-        lake.spark.sql(f"DROP TABLE {external}")
-    lake.spark.sql(
-        f"CREATE TABLE {external} USING parquet "
-        f"OPTIONS (recursiveFileLookup 'true', pathGlobFilter '{files.name_glob('parquet')}') "
-        f"LOCATION '{source.folder}'"
-    )
-    lake.spark.sql(f"CREATE OR REPLACE VIEW {lake.sql_name(table)} AS SELECT * FROM {external}")
-    counted = schema.row_estimate(source.listing).first()
-    return counted["rows"]
+    # JSON is read by name: one table fits all files.
+    groups = [] if source.fmt == "json" else _signatures(source)
+    spread = {c: _listed(paths) for c, (_, paths) in enumerate(groups)}
+    if any(len(p) > LISTED for p in spread.values()):
+        raise LakeError("the files have different schemas, and too many files to list: load them as editable")
+    given = _given_types(source, definition)
+    folder = table.rpartition(".")[0]
+    prefix = f"{table}__files"
+    if action == "replace":
+        for path, kind in lake.entries(folder):
+            if kind == TABLE and re.fullmatch(re.escape(prefix.lower()) + r"\d*", path):
+                lake.spark.sql(f"DROP TABLE {lake.sql_name(path)}")
+    selects = []
+    for i, (columns, _) in enumerate(groups or [(source.columns, None)]):
+        external = lake.sql_name(prefix + (str(i) if i else ""))
+        raw = _raw_columns(source, columns, given)
+        options = {"pathGlobFilter": files.name_glob(source.fmt), "recursiveFileLookup": "true", "path": spread.get(i, source.folder)}
+        if source.fmt == "csv":
+            options |= {**source.csv.reader(), "columnNameOfCorruptRecord": _RAGGED}
+        said = ", ".join(f"{literal(k)} {literal(v)}" for k, v in options.items())
+        fields = ", ".join(f"{quote(n)} {t}" for n, t in raw)
+        lake.spark.sql(f"CREATE TABLE {external} ({fields}) USING {source.fmt} OPTIONS ({said})")
+        selects.append(f"SELECT {_view_columns(source, columns, given, definition)} FROM {external}")
+    lake.spark.sql(f"CREATE OR REPLACE VIEW {lake.sql_name(table)} AS {' UNION ALL '.join(selects)}")
+    return schema.row_estimate(source.listing).first()["rows"] if source.fmt == "parquet" else None
+
+
+def _raw_columns(source: Source, columns: list[tuple[str, str]], given: dict[str, str]) -> list[tuple[str, str]]:
+    """Names and Spark types of an external table over files with these columns."""
+    if source.fmt == "csv":
+        return [*((f"c{i}", "string") for i in range(len(columns))), (_RAGGED, "string")]
+    if source.fmt == "json":
+        return [(n, "string" if t in ("TIMESTAMP", "DATE") or n.lower() in given else spark_type(t)) for n, t in columns]
+    return [(n, spark_type(t)) for n, t in columns]
+
+
+def _view_columns(source: Source, columns: list[tuple[str, str]], given: dict[str, str], definition: TableDefinition | None) -> str:
+    """The unified columns as SQL over one external table, defined ones first."""
+    raw = dict(zip([n for n, _ in columns], _raw_columns(source, columns, given), strict=False))
+    out = {}
+    for name, kind in source.columns:
+        if name not in raw:
+            value = f"CAST(NULL AS {spark_type(kind)})"
+        else:
+            stored, held = raw[name]
+            value = quote(stored)
+            if name.lower() in given:
+                value = given_sql(value, spark_type(given[name.lower()]))
+            elif source.fmt != "parquet" and held == "string":
+                value = parse_sql(value, kind)
+            elif held != spark_type(kind):
+                value = f"CAST({value} AS {spark_type(kind)})"
+            if source.fmt == "csv" and stored == "c0":
+                told = f"concat({literal(_RAGGED_ROW)}, substring({_RAGGED}, 1, 200))"
+                value = f"CASE WHEN {_RAGGED} IS NOT NULL THEN raise_error({told}) ELSE {value} END"
+        out[name] = value
+    defined = {n.lower(): (n, t) for n, t in definition.columns} if definition else {}
+    by_key = {n.lower(): n for n in out}
+    missing = [n for k, (n, _) in defined.items() if k not in by_key]
+    if missing:
+        raise LakeError("the definition names columns the files do not have", missing)
+    first = [f"CAST({out[by_key[k]]} AS {spark_type(t)}) AS {quote(n)}" for k, (n, t) in defined.items()]
+    return ", ".join([*first, *(f"{v} AS {quote(n)}" for n, v in out.items() if n.lower() not in defined)])
 
 
 def ingest_slice(

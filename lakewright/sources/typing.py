@@ -70,6 +70,36 @@ def parse_as(value: Column, sql_type: str) -> Column:
     }.get(sql_type, lambda: value)()
 
 
+def parse_sql(text: str, sql_type: str) -> str:
+    """:func:`parse_as` of a column as SQL, for the text of a view."""
+    patterns = {
+        "BIGINT": (_WHOLE, "bigint"), "INT": (_WHOLE, "int"), "BOOLEAN": (_TRUTH, "boolean"), "DATE": (_DATE, "date"),
+        "TIMESTAMP": (_STAMP + "|" + _DATE, "timestamp"), "DOUBLE": (_REAL, "double"), "FLOAT": (_REAL, "float"),
+    }
+    if sql_type not in patterns:
+        return text
+    pattern, kind = patterns[sql_type]
+    found = f"CASE WHEN NOT trim({text}) IN ({_spellings()}) AND trim({text}) RLIKE {literal(pattern)} THEN try_cast(trim({text}) AS {kind}) END"
+    return f"CAST({found} AS timestamp_ntz)" if kind == "timestamp" else found
+
+
+def given_sql(text: str, spark_type: str) -> str:
+    """Text as a given type in SQL: a null spelling is null, other text that is no such value an error."""
+    if spark_type == "string":
+        return text
+    cast = f"CAST(CAST({text} AS timestamp) AS timestamp_ntz)" if spark_type == "timestamp_ntz" else f"CAST({text} AS {spark_type})"
+    return f"CASE WHEN NOT trim({text}) IN ({_spellings()}) THEN {cast} END"
+
+
+def literal(text: str) -> str:
+    """A string in SQL."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _spellings() -> str:
+    return ", ".join(literal(s) for s in NULL_SPELLINGS)
+
+
 # The order in which types are tried; VARCHAR is what remains.
 CANDIDATES = ("BIGINT", "BOOLEAN", "DATE", "TIMESTAMP", "DOUBLE")
 

@@ -93,6 +93,26 @@ def q_ingest_read_only(spark, sf):
     return lake.table("main.sales.orders")
 
 
+def q_ingest_read_only_formats(spark, sf):
+    """Views over CSV, JSON and Parquet files in place; the Parquet files differ in their schemas."""
+    lake, orders = new_lake(spark), _orders(read(spark, sf, "orders"))
+    ing.ingest(lake, written(orders, "csv", header="true", escape='"'), "main.sales.a", "csv", intent="read_only")
+    ing.ingest(lake, written(orders, "json"), "main.sales.b", "json", intent="read_only")
+    folder, status = scratch(spark, "mixed"), F.col("o_orderstatus")
+    orders.filter(status == "F").withColumn("o_custkey", F.col("o_custkey").cast("string")).coalesce(1).write.parquet(f"{folder}/a")
+    orders.filter(status == "O").withColumn("o_custkey", F.col("o_custkey").cast("int")).coalesce(1).write.parquet(f"{folder}/b")
+    orders.filter(status == "P").drop("o_orderpriority").coalesce(1).write.parquet(f"{folder}/c")
+    ing.ingest(lake, folder, "main.sales.c", "parquet", intent="read_only")
+    out = None
+    for name in "abc":
+        one = lake.table(f"main.sales.{name}").select(
+            F.lit(name).alias("kind"), F.col("o_orderkey").cast("long").alias("o_orderkey"), F.col("o_custkey").cast("long").alias("o_custkey"),
+            "o_orderstatus", F.col("o_orderdate").cast("date").cast("string").alias("o_orderdate"), "o_orderpriority",
+        )
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def q_ingest_slice_replace(spark, sf):
     orders = _orders(read(spark, sf, "orders"))
     lake = new_lake(spark)
@@ -381,6 +401,7 @@ QUERIES = {
     "ingest_append": q_ingest_append,
     "ingest_replace": q_ingest_replace,
     "ingest_read_only": q_ingest_read_only,
+    "ingest_read_only_formats": q_ingest_read_only_formats,
     "ingest_slice_replace": q_ingest_slice_replace,
     "ingest_definition": q_ingest_definition,
     "ingest_mixed_schema": q_ingest_mixed_schema,
@@ -416,6 +437,8 @@ ORACLES = {
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m-%d') || ' 00:00:00', NULL FROM orders""",
     "ingest_replace": f"SELECT {ORDERS} FROM orders WHERE o_orderstatus <> 'F'",
     "ingest_read_only": f"SELECT {ORDERS} FROM orders",
+    "ingest_read_only_formats": """SELECT kind, o_orderkey, o_custkey, o_orderstatus, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate,
+  CASE WHEN kind <> 'c' OR o_orderstatus <> 'P' THEN o_orderpriority END AS o_orderpriority FROM orders, (SELECT unnest(['a', 'b', 'c']) AS kind)""",
     "ingest_slice_replace": f"""SELECT {ORDERS}, 'status_' || lower(o_orderstatus) AS sub_path FROM orders
 WHERE o_orderstatus <> 'O' OR o_totalprice > 250000""",
     "ingest_definition": f"SELECT {ORDERS} FROM orders",
