@@ -269,14 +269,17 @@ def q_spatial_plan(spark, sf):
     return spark.createDataFrame(rows, "name string, kind string, geometry_column string, encoding string, crs_column string")
 
 
-def _exported(spark, sf):
+def _exported(spark, sf, *srids):
+    """The export's report and folder; with several systems one export after the other."""
     lake, df = new_lake(spark), geo(spark, sf)
     stations = df.select("k", F.col("ewkt").alias("geom"), "c_acctbal")
     create_table(lake, stations, "catalog.a.places")
     create_table(lake, df.select("k", "lat", "lon"), "catalog.b.places")
     create_table(lake, read(spark, sf, "orders"), "catalog.b.orders")
     out = scratch(spark, "export")
-    return spatial.export_layers(lake, "catalog", out, srid=3857), out
+    for srid in srids or (3857,):
+        report = spatial.export_layers(lake, "catalog", out, srid=srid)
+    return report, out
 
 
 def q_export_report(spark, sf):
@@ -287,6 +290,21 @@ def q_export_report(spark, sf):
     )
 
 
+def q_export_again(spark, sf):
+    """What readers find after a second export into the same folder: its tables, and the rows of every layer's files."""
+    _, out = _exported(spark, sf, 3857, 4326)
+    found = spatial.open_export(spark, out)
+    held = None
+    # One row per layer.
+    for row in found["contents"].select("layer", "location").collect():
+        one = spark.read.parquet(row["location"]).agg(F.count("*").alias("held")).withColumn("layer", F.lit(row["layer"]))
+        held = one if held is None else held.unionByName(one)
+    named = found["geometry_columns"].join(found["spatial_ref_sys"], "srs_id").select("layer", "srs_name", "geometry_type")
+    bounds = [F.round(c, 6).alias(c) for c in ("min_x", "max_y")]
+    layers = found["contents"].select("layer", "data_type", "rows", F.col("srs_id").cast("long").alias("srs_id"), *bounds)
+    return layers.join(held, "layer").join(named, "layer", "left")
+
+
 def q_export_layer(spark, sf):
     report, _ = _exported(spark, sf)
     # At most one row per exported table.
@@ -318,6 +336,7 @@ QUERIES = {
     "reproject_all_systems": q_reproject_all_systems,
     "reproject_geometry": q_reproject_geometry,
     "export_values": q_export_values,
+    "export_again": q_export_again,
     "gpkg_point_blob": q_gpkg_point_blob,
     "spatial_profile": q_spatial_profile,
     "spatial_plan": q_spatial_plan,
@@ -431,5 +450,11 @@ SELECT 'catalog.a.places' AS path, 'a_places' AS layer, 'features' AS data_type,
   CAST(3857 AS BIGINT) AS srs_id, ax AS max_x, ay AS max_y FROM n
 UNION ALL SELECT 'catalog.b.places', 'b_places', 'features', n, 'geom', 'POINT', 3857, bx, byy FROM n
 UNION ALL SELECT 'catalog.b.orders', 'orders', 'attributes', (SELECT count(*) FROM orders), NULL, NULL, NULL, NULL, NULL""",
+    "export_again": f"""WITH {GEO}, n AS (SELECT count(*) AS n, min(lon) AS bx, max(lat) AS byy,
+  min(CASE WHEN k % 3 = 0 THEN lon ELSE degrees(lon / 6378137.0) END) AS ax,
+  max(CASE WHEN k % 3 = 0 THEN lat ELSE degrees(2 * atan(exp(lat / 6378137.0)) - pi() / 2) END) AS ay FROM geo)
+SELECT 'a_places' AS layer, 'features' AS data_type, n AS rows, CAST(4326 AS BIGINT) AS srs_id, round(ax, 6) AS min_x, round(ay, 6) AS max_y, n AS held, 'WGS 84' AS srs_name, 'POINT' AS geometry_type FROM n
+UNION ALL SELECT 'b_places', 'features', n, 4326, bx, byy, n, 'WGS 84', 'POINT' FROM n
+UNION ALL SELECT 'orders', 'attributes', count(*), NULL, NULL, NULL, count(*), NULL, NULL FROM orders""",
     "export_layer": f"""WITH {GEO} SELECT k, lat, lon, round({_MX.format('lon')}, 2) AS x, round({_MY.format('lat')}, 2) AS y FROM geo""",
 }

@@ -165,7 +165,7 @@ def test_export(lake, spark, tmp_path):
     written = spark.read.parquet(layer["location"])
     assert written.columns == ["fid_src", "geometry", "geom"]
     assert (report["codes"]["data_type"], report["empty"]["notes"]) == ("attributes", "no rows")
-    assert spark.read.parquet(str(tmp_path / "out" / "contents")).count() == 3
+    assert spatial.open_export(spark, str(tmp_path / "out"))["contents"].count() == 3
     with pytest.raises(LakeError, match="already holds"):
         spatial.export_layers(lake, "geo", str(tmp_path / "out"), overwrite=False)
     for bad in ({"limit": True}, {"limit": 0}, {"srid": 9999}, {"tables": ["none"]}):
@@ -173,6 +173,53 @@ def test_export(lake, spark, tmp_path):
             spatial.export_layers(lake, "geo", str(tmp_path / "other"), **bad)
 
 
+def _seen(spark, out):
+    """The target system and the rows of all layers, as a reader finds them now."""
+    tables = spatial.open_export(spark, out)
+    rows = tables["contents"].collect()
+    assert {r.layer for r in tables["geometry_columns"].collect()} == {r.layer for r in rows if r.data_type == "features"}
+    return {r.srs_id for r in rows if r.srs_id}, {r.layer: spark.read.parquet(r.location).count() for r in rows}
+
+
+def test_readers_see_a_whole_export_at_every_step(lake, spark, tmp_path, monkeypatch):
+    from lakewright.operators.writes import create_table
+    from lakewright.sources.store import Store
+
+    out = str(tmp_path / "out")
+    create_table(lake, spark.createDataFrame([("SRID=4326;POINT (10 52)",)], "geom string"), "geo.contents")
+    create_table(lake, spark.range(3), "geo.codes")
+    with pytest.raises(LakeError, match="no export"):
+        spatial.open_export(spark, out)
+    spatial.export_layers(lake, "geo", out, srid=3035)
+    first = ({3035}, {"contents": 1, "codes": 3})
+    assert _seen(spark, out) == first
+    seen, real, written = [], Store.write, spatial._export_layer
+
+    def layer(*args):
+        found = written(*args)
+        seen.append(_seen(spark, out))
+        return found
+
+    def write(self, path, text):
+        seen.append(_seen(spark, out))
+        real(self, path, text)
+        seen.append(_seen(spark, out))
+
+    monkeypatch.setattr(spatial, "_export_layer", layer)
+    monkeypatch.setattr(Store, "write", write)
+    spatial.export_layers(lake, "geo", out, srid=25832)
+    assert seen[:-1] == [first] * 3 and seen[-1] == ({25832}, {"contents": 1, "codes": 3})
+    # A failed export changes nothing and leaves nothing; the run before stays until the next.
+    runs = {p.name for p in (tmp_path / "out").glob("run-*")}
+    create_table(lake, spark.createDataFrame([("SRID=9999;POINT (1 2)",)], "geom string"), "geo.wrong")
+    with pytest.raises(LakeError, match="9999"):
+        spatial.export_layers(lake, "geo", out, srid=3035)
+    assert _seen(spark, out) == seen[-1] and {p.name for p in (tmp_path / "out").glob("run-*")} == runs and len(runs) == 2
+    spark.sql(f"DROP TABLE {lake.sql_name('geo.wrong')}")
+    spatial.export_layers(lake, "geo", out)
+    assert len(list((tmp_path / "out").glob("run-*"))) == 2
+
+
 def test_export_values(spark):
     df = spark.sql(
         "SELECT 1 AS FID, CAST(1.5 AS DECIMAL(5,2)) AS d, DATE'2026-01-01' AS day, TIMESTAMP'2026-01-01 12:00:00+00:00' AS t, "
