@@ -7,6 +7,7 @@ escaped reversibly. Paths compare without regard to case, as table names do.
 
 from __future__ import annotations
 
+import base64
 import json
 import re
 from dataclasses import dataclass
@@ -240,21 +241,57 @@ class Lake:
         self._set_property(path, TAGS_PROPERTY, json.dumps(list(tags)))
 
     def wiki(self, path: str) -> str:
-        text = self.property(path, WIKI_PROPERTY)
+        """The wiki of a table or view, or where there is none of that name, of a folder."""
+        text = self.folder_wiki(path) if self._only_folder(path) else self.property(path, WIKI_PROPERTY)
         if not text:
             raise LakeError(f"{path!r} has no wiki")
         return text
 
     def set_wiki(self, path: str, text: str) -> None:
-        self._set_property(path, WIKI_PROPERTY, text)
+        if self._only_folder(path):
+            self.set_folder_wiki(path, text)
+        else:
+            self._set_property(path, WIKI_PROPERTY, text)
 
     def delete_wiki(self, path: str) -> None:
-        self._set_property(path, WIKI_PROPERTY, "")
+        self.set_wiki(path, "")
 
-    def metadata(self, folder: str | None = None) -> DataFrame:
-        """Tags and wiki of every entry, as the metadata operators take them."""
+    def _only_folder(self, path: str) -> bool:
+        return (len(split_path(path)) < 2 or self.kind(path) is None) and self.is_folder(path)
+
+    def folder_wiki(self, path: str) -> str | None:
+        """What a folder's database keeps; encoded, as its description lists properties as plain text."""
+        if not self.spark.catalog.databaseExists(self.database(path)):
+            return None
+        told = self.spark.sql(f"DESCRIBE DATABASE EXTENDED {quote(self.database(path))}").collect()
+        held = " ".join(r["info_value"] for r in told if r["info_name"] == "Properties")
+        found = re.search(rf"\({re.escape(WIKI_PROPERTY)},([A-Za-z0-9+/=]*)\)", held)
+        return base64.b64decode(found[1]).decode() or None if found else None
+
+    def set_folder_wiki(self, path: str, text: str) -> None:
+        if not self.is_folder(path):
+            raise LakeError(f"folder {path!r} does not exist")
+        self.ensure_folder(path)  # one that is only the way to others has no database yet
+        held = base64.b64encode(text.encode()).decode()
+        self.spark.sql(f"ALTER DATABASE {quote(self.database(path))} SET DBPROPERTIES ('{WIKI_PROPERTY}' = '{held}')")
+
+    def metadata(self, folder: str | None = None, folders: bool = False) -> DataFrame:
+        """Tags and wiki of every entry, as the metadata operators take them; with ``folders`` also of those."""
         rows = [
             (p, k, self.tags(p), self.property(p, WIKI_PROPERTY) or None)
             for p, k in self.entries(folder)
         ]
+        if folders:
+            top = None if folder is None else self.canonical(folder)
+            inside = [p for p in self.folders() if top is None or p == top or p.startswith(top + ".")]
+            rows += [(p, FOLDER, [], self.folder_wiki(p)) for p in inside]
         return self.spark.createDataFrame(rows, METADATA_SCHEMA)
+
+    def store_metadata(self, meta: DataFrame) -> None:
+        """Keep the tags and wikis of a frame like :meth:`metadata`; a null wiki goes. One row per entry."""
+        for row in meta.collect():
+            if row["kind"] == FOLDER:
+                self.set_folder_wiki(row["path"], row["wiki"] or "")
+            else:
+                self.set_tags(row["path"], row["tags"] or [])
+                self._set_property(row["path"], WIKI_PROPERTY, row["wiki"] or "")

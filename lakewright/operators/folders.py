@@ -74,6 +74,7 @@ def _view_one(lake: Lake, entry, overwrite: bool, skip_existing: bool, verify: b
 
 def _carry(lake: Lake, entry) -> None:
     if entry["kind"] == FOLDER:
+        _carry_folder(lake, entry["source"], entry["target"])
         return
     tags, wiki = lake.tags(entry["source"]), lake.property(entry["source"], WIKI_PROPERTY)
     if tags:
@@ -82,6 +83,12 @@ def _carry(lake: Lake, entry) -> None:
         lake.set_wiki(entry["target"], wiki)
 
 
+def _carry_folder(lake: Lake, source: str, target: str) -> None:
+    if wiki := lake.folder_wiki(source):
+        lake.ensure_folder(target)
+        lake.set_folder_wiki(target, wiki)
+
+
 def folder_copy(
     lake: Lake,
     source: str,
@@ -136,6 +143,9 @@ def folder_copy(
     report = [one(e) for e in entries if e["kind"] == FOLDER]
     report += lifecycle.in_parallel(lake, one, [e for e in entries if e["kind"] == TABLE])
     report += [one(e) for e in entries if e["kind"] == VIEW]
+    if copy_metadata and not dry_run:
+        # The folder itself is no entry of its plan.
+        _carry_folder(lake, source, target)
     return lake.spark.createDataFrame(report, REPORT_SCHEMA)
 
 

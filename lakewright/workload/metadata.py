@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakewright.functions import paths
+from lakewright.operators import folders
 from lakewright.operators import metadata as md
-from lakewright.workload.inputs import META, metadata
+from lakewright.operators.writes import create_table
+from lakewright.workload.ingest import new_lake
+from lakewright.workload.inputs import META, metadata, read
+
 
 def _flat():
     return F.array_join("tags", ",").alias("tags")
@@ -94,7 +98,38 @@ def q_carry_metadata(spark, sf):
     return md.carry_metadata(plan, meta).select("path", "kind", _flat(), "wiki")
 
 
+def _documented(spark, sf):
+    """A folder per market segment with its customers; its wiki says how many there are and what they own."""
+    lake, customers = new_lake(spark), read(spark, sf, "customer")
+    name = F.concat(F.lit("catalog.segments."), F.lower("c_mktsegment"))
+    told = customers.groupBy(name.alias("path")).agg(F.count("*").alias("n"), F.sum(F.col("c_acctbal").cast("decimal(18,2)")).alias("sum"))
+    # One row per segment.
+    for row in customers.select("c_mktsegment", name.alias("path")).distinct().collect():
+        create_table(lake, customers.filter(F.col("c_mktsegment") == row["c_mktsegment"]).select("c_custkey"), f"{row['path']}.customers")
+    entry = lambda n, value, title: F.struct(F.lit(n).alias("tag_name"), value.cast("string").alias("tag_value"), F.lit(title).alias("tag_title"))
+    changes = told.select("path", F.array(entry("n", F.col("n"), "Customers"), entry("sum", F.col("sum"), 'Sum of "balances" & debts')).alias("entries"))
+    meta = lake.metadata("catalog.segments", folders=True).withColumn("wiki", F.when(F.col("kind") == "FOLDER", F.concat(F.lit("It's "), "path")))
+    lake.store_metadata(md.wiki_meta_render(meta, changes).select(*meta.columns))
+    return lake
+
+
+def q_folder_wiki_roundtrip(spark, sf):
+    lake = _documented(spark, sf)
+    return md.wiki_meta_parse(lake.metadata("catalog.segments", folders=True)).withColumn("position", F.col("position").cast("long"))
+
+
+def q_folder_move_metadata(spark, sf):
+    lake = _documented(spark, sf)
+    folders.folder_move(lake, "catalog.segments", "catalog.moved")
+    left = lake.metadata("catalog", folders=True)
+    values = md.wiki_meta_value(left, "n").select("path", F.col("tag_value").alias("n"))
+    rows = left.select("path", "kind", F.substring_index("wiki", "\n", 1).alias("wiki")).join(values, "path", "left")
+    return rows.filter("path <> 'catalog'")
+
+
 QUERIES = {
+    "folder_wiki_roundtrip": q_folder_wiki_roundtrip,
+    "folder_move_metadata": q_folder_move_metadata,
     "tags_set": q_tags_set,
     "tags_add": q_tags_add,
     "tags_remove": q_tags_remove,
@@ -115,6 +150,13 @@ _CODED = "'<tag name=\"note\" value=\"a &quot;b&quot; &amp; &lt;c> ' || k || '\"
 _BRAND = "tags[-1]"
 
 ORACLES = {
+    "folder_wiki_roundtrip": """WITH s AS (SELECT 'catalog.segments.' || lower(c_mktsegment) AS path, count(*) AS n, sum(CAST(c_acctbal AS DECIMAL(18,2))) AS s FROM customer GROUP BY 1)
+SELECT path, 'It''s ' || path AS base, CAST(0 AS BIGINT) AS position, 'n' AS tag_name, CAST(n AS VARCHAR) AS tag_value, 'Customers' AS tag_title FROM s
+UNION ALL SELECT path, 'It''s ' || path, 1, 'sum', CAST(s AS VARCHAR), 'Sum of "balances" & debts' FROM s""",
+    "folder_move_metadata": """WITH s AS (SELECT lower(c_mktsegment) AS name, count(*) AS n FROM customer GROUP BY 1)
+SELECT 'catalog.moved' AS path, 'FOLDER' AS kind, 'It''s catalog.segments' AS wiki, NULL AS n
+UNION ALL SELECT 'catalog.moved.' || name, 'FOLDER', 'It''s catalog.segments.' || name, CAST(n AS VARCHAR) FROM s
+UNION ALL SELECT 'catalog.moved.' || name || '.customers', 'TABLE', NULL, NULL FROM s""",
     "tags_set": f"WITH {META} SELECT path, 's' || (k % 2) || ',' || {_BRAND} || ',#public' AS tags FROM meta",
     "tags_add": f"""WITH {META} SELECT path, CASE WHEN k % 11 < 6 THEN '#public,' || {_BRAND} || ',s' || (k % 2)
   ELSE {_BRAND} || ',s' || (k % 2) || ',#public' END AS tags FROM meta""",

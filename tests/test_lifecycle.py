@@ -269,3 +269,50 @@ def test_context_in_a_comma_join(lake, table):
         lake, "a.x.v", "SELECT t.id, u.id AS t FROM t, u WHERE t.id = u.id", context=["a", "x"]
     )
     assert lake.table("a.x.v").count() == 3
+
+
+ODD = "It's (a, b) \\ \"q\" — é\n(lakewright.wiki,x)"
+
+
+def test_folder_wikis(lake):
+    lake.ensure_folder("sea.draft.raw")
+    assert lake.folder_wiki("sea.draft.raw") is None
+    with pytest.raises(LakeError, match="no wiki"):
+        lake.wiki("sea.draft.raw")
+    lake.set_wiki("sea.draft.raw", ODD)
+    lake.set_wiki("sea", "top")  # a folder on the way to others
+    assert (lake.wiki("Sea.Draft.RAW"), lake.wiki("sea")) == (ODD, "top")
+    found = {r.path: r.wiki for r in lake.metadata(folders=True).collect()}
+    assert found == {"sea": "top", "sea.draft": None, "sea.draft.raw": ODD}
+    assert lake.metadata().collect() == []
+    lake.delete_wiki("sea.draft.raw")
+    assert lake.folder_wiki("sea.draft.raw") is None
+    with pytest.raises(LakeError, match="does not exist"):
+        lake.set_folder_wiki("sea.gone", "x")
+
+
+def test_an_entry_and_a_folder_of_one_name(lake, table):
+    table("sea.draft", 1)
+    lake.ensure_folder("sea.draft")
+    lake.set_wiki("sea.draft", "of the table")
+    lake.set_folder_wiki("sea.draft", "of the folder")
+    assert (lake.wiki("sea.draft"), lake.folder_wiki("sea.draft")) == ("of the table", "of the folder")
+
+
+def test_folder_wikis_move(tree):
+    tree.set_wiki("sea.draft", ODD)
+    tree.set_wiki("sea.draft.empty", "nothing here")
+    folders.folder_copy(tree, "sea.draft", "sea.other", copy_metadata=False)
+    assert tree.folder_wiki("sea.other") is None
+    assert folders.is_verified(folders.folder_move(tree, "sea.draft", "sea.archive"))
+    assert (tree.wiki("sea.archive"), tree.wiki("sea.archive.empty")) == (ODD, "nothing here")
+    assert tree.folder_wiki("sea.archive.raw") is None and not tree.is_folder("sea.draft")
+
+
+def test_stored_metadata(lake, table):
+    table("sea.draft.t", 1)
+    lake.set_wiki("sea.draft.t", "old")
+    meta = lake.metadata(folders=True)
+    rows = [(r.path, r.kind, ["x"] if r.kind == "TABLE" else [], f"about {r.path}" if r.kind == "FOLDER" else None) for r in meta.collect()]
+    lake.store_metadata(lake.spark.createDataFrame(rows, meta.schema))
+    assert sorted(map(tuple, lake.metadata(folders=True).collect())) == sorted(rows)
