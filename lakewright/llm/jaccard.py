@@ -5,13 +5,14 @@ Spark deals out the columns; each block of columns adds its part of the overlap
 every pair of rows in it. Bounds that follow from sizes keep the product sparse, and
 none loses a pair at or above the limit: sizes must lie within the limit of each other;
 only the first columns of a row in a common order take part, as many as its size
-leaves room to differ, and ``EXTRA`` more, and fewer of the smaller row of a pair; the
-overlap in these must reach ``EXTRA + 1``; and as all columns fall into ``BLOCKS``
+leaves room to differ, and :func:`extra` more, and fewer of the smaller row of a pair; the
+overlap in these must exceed what the smaller row brings extra; and as all columns fall into ``BLOCKS``
 blocks by hash, the smaller counts of two rows, summed over the blocks, must reach the
 overlap that the limit needs. What is left is counted exactly on the whole texts.
 
-The common order puts n-grams that many texts hold last. It is learned from a bounded
-sample; any order gives the same links, a good one gives fewer candidates.
+The common order puts n-grams that many texts hold last. It comes from counts of all
+texts in a fixed number of hash buckets; any order gives the same links, a good one gives
+fewer candidates.
 
 Links form components, so not all of them are needed: in ``ROUNDS`` rounds every row is
 compared with one row only, of those that lead a column among rows of about one size
@@ -38,15 +39,14 @@ from lakewright.session import materialise
 
 N = 4
 PERCENT = 85
-#: Columns more than needed that take part, and so overlaps more than one that a pair must have in them.
-EXTRA = 4
+#: Columns more than needed that take part, and so overlaps more than one that a pair must have in them; one more for so many n-grams.
+EXTRA, EVERY = 4, 100
 #: Blocks of columns whose counts bound the overlap of two rows.
 BLOCKS = 128
 ROUNDS = 3
-#: Texts the order of columns is learned from, columns it may know, and texts of the sample that must hold one.
-SAMPLE_TEXTS = 40_000
-KNOWN = 1_000_000
-LEAST_TEXTS = 2
+#: Counters of the order of columns (a power of two), and parts they are summed in.
+COUNTERS = 1 << 22
+PARTS = 256
 #: Classes (about 50 bytes each) whose texts are picked out by a broadcast list; more are joined by hash.
 BROADCAST_CLASSES = 500_000
 
@@ -71,29 +71,56 @@ def least_overlap(a: Column, b: Column, percent: int) -> Column:
     return F.ceil((a + b) * percent / F.lit(100 + percent) - F.lit(1e-9))
 
 
-def column_order(docs: DataFrame, n: int = N, texts: int = SAMPLE_TEXTS, known: int = KNOWN) -> tuple[np.ndarray, np.ndarray]:
-    """The n-grams that many of about ``texts`` sampled rows hold, sorted, and the number of rows that do."""
-    many = max(1, -(-docs.count() // texts))
-    sample = docs.select("text", F.xxhash64("text").alias("tie")).where(F.pmod("tie", F.lit(many)) == 0)
-    sample = sample.groupBy("tie").agg(F.first("text").alias("text")).select("text")  # copies count once
+def extra(size):
+    """Columns beyond those needed that a row of some size brings; more for long rows, which share more by chance."""
+    return EXTRA + size // EVERY
 
-    def held(batches):
-        hasher = Hasher()
+
+def extra_of(size: Column) -> Column:
+    return EXTRA + F.floor(size / EVERY)
+
+
+def column_order(docs: DataFrame, n: int = N) -> np.ndarray:
+    """How many texts hold an n-gram of each hash bucket, from all texts; ``COUNTERS`` numbers whatever the input.
+
+    Every task counts by itself; its counters are cut into parts, and each part is summed as it comes in.
+    """
+    size, schema = COUNTERS // PARTS, pa.schema([("part", pa.int32()), ("counts", pa.binary())])
+
+    def row(part, counts):
+        return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([pa.compress(counts.tobytes(), codec="zstd", asbytes=True)], pa.binary())], schema=schema)
+
+    def counted(batches):
+        hasher, total = Hasher(), np.zeros(COUNTERS, np.uint32)
         for batch in slices(batches, "text"):
-            grams, count = np.unique(np.concatenate(shingles(hasher, column(batch, "text"), n)), return_counts=True)
-            yield pa.record_batch([pa.array(grams.view(np.int64)), pa.array(count.astype(np.int64))], ["gram", "texts"])
+            grams = np.concatenate(shingles(hasher, column(batch, "text"), n))
+            total += np.bincount(bucket(grams), minlength=COUNTERS).astype(np.uint32)
+        for part, counts in enumerate(total.reshape(PARTS, size)):
+            if counts.any():
+                yield row(part, counts)
+
+    def summed(batches):
+        total = {}
+        for batch in batches:
+            for part, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                counts = np.frombuffer(pa.decompress(counts, decompressed_size=4 * size, codec="zstd", asbytes=True), np.uint32)
+                total[part] = total[part] + counts if part in total else counts
+        yield from (row(part, counts) for part, counts in total.items())
+
+    parts = docs.select("text").mapInArrow(counted, "part int, counts binary").repartition("part").mapInArrow(summed, "part int, counts binary")
+    order = np.zeros((PARTS, size), np.uint32)
+    for r in parts.collect():
+        order[r.part] += np.frombuffer(pa.decompress(bytes(r.counts), decompressed_size=4 * size, codec="zstd", asbytes=True), np.uint32)
+    return order.ravel()
+
 
-    rows = sample.mapInArrow(held, "gram long, texts long").groupBy("gram").agg(F.sum("texts").alias("texts")).where(F.col("texts") >= LEAST_TEXTS)
-    found = rows.orderBy(F.desc("texts"), "gram").limit(known).toPandas()
-    grams = found["gram"].to_numpy(np.int64).view(U64)
-    order = np.argsort(grams)
-    return grams[order], found["texts"].to_numpy(np.int64)[order]
+def bucket(grams: np.ndarray) -> np.ndarray:
+    return (grams >> U64(64 - COUNTERS.bit_length() + 1)).astype(np.int64)
 
 
-def sets(docs: DataFrame, order: tuple[np.ndarray, np.ndarray], n: int = N, percent: int = PERCENT) -> DataFrame:
+def sets(docs: DataFrame, order: np.ndarray, n: int = N, percent: int = PERCENT) -> DataFrame:
     """doc_id, tie (of the text), n_shingles, the class (equal sets, null without any), the columns that take part, in
     order, and how many columns each block holds, in steps of ``step`` and rounded up."""
-    grams, texts = order
 
     def measured(batches):
         hasher = Hasher()
@@ -116,12 +143,8 @@ def sets(docs: DataFrame, order: tuple[np.ndarray, np.ndarray], n: int = N, perc
                 steps.append(step)
                 ranks = np.arange(1, m + 1, dtype=U64)
                 kind.append(int(np.bitwise_xor.reduce(mix(found * ranks)).astype(np.int64)) ^ m)
-                first = min(m, m - -(-percent * m // 100) + 1 + EXTRA)
-                held = np.zeros(m, np.int64)
-                if len(grams):
-                    where = np.minimum(np.searchsorted(grams, found), len(grams) - 1)
-                    held = np.where(grams[where] == found, texts[where], 0)
-                columns.append(found[np.lexsort((found, held))[:first]].view(np.int64))
+                first = min(m, m - -(-percent * m // 100) + 1 + extra(m))
+                columns.append(found[np.lexsort((found, order[bucket(found)]))[:first]].view(np.int64))
             yield pa.record_batch(
                 [column(batch, "doc_id"), column(batch, "tie"), pa.array(size, pa.int64()), pa.array(kind, pa.int64()), pa.array(columns, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int8())), pa.array(steps, pa.int64())],
                 ["doc_id", "tie", "n_shingles", "class", "columns", "counts", "step"],
@@ -206,11 +229,11 @@ def links(rows: DataFrame, docs: DataFrame, n: int = N, percent: int = PERCENT)
 
     # The product over columns whose rows are not all connected by then.
     open_ = apart(sure).join(sizes.drop("size"), "class")
-    first = F.col("place") <= F.col("size") - least_overlap(F.col("size"), F.col("size"), percent) + EXTRA
+    first = F.col("place") <= F.col("size") - least_overlap(F.col("size"), F.col("size"), percent) + extra_of(F.col("size"))
     left, right = open_.where(first).select("gram", *side("a", "root")), open_.select("gram", *side("b", "root"))
     smaller = (a < b) | ((a == b) & (F.col("class_a") < F.col("class_b")))
     product = left.join(right, "gram").where(smaller & (F.col("root_a") != F.col("root_b")) & possible)
-    enough = F.col("shared") >= F.least(F.lit(EXTRA + 1), least_overlap(a, b, percent))
+    enough = F.col("shared") >= F.least(extra_of(a) + 1, least_overlap(a, b, percent))
     product = product.groupBy("class_a", "class_b", "size_a", "size_b").agg(F.count("*").alias("shared")).where(enough)
     pairs = materialise(product.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")), "pairs")
     more = verified(pairs, texts_of(pairs), n, percent)
