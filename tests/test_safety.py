@@ -160,7 +160,7 @@ def test_the_whole_column_decides(lake, tmp_path):
 
 
 def test_unknown_systems_are_refused_before_writing(lake, tmp_path):
-    df = lake.spark.createDataFrame([("POINT (1 2)", 25832), ("POINT (1 2)", 4326)], "geom string, srid int")
+    df = lake.spark.createDataFrame([("POINT (1 2)", 31467), ("POINT (1 2)", 4326)], "geom string, srid int")
     writes.create_table(lake, df, "g.a.p")
-    with pytest.raises(LakeError, match="25832: 1 row"):
+    with pytest.raises(LakeError, match="31467: 1 row"):
         spatial.export_layers(lake, "g", str(tmp_path / "out"))
