@@ -14,11 +14,12 @@ The common order puts n-grams that many texts hold last. It comes from counts of
 texts in a fixed number of hash buckets; any order gives the same links, a good one gives
 fewer candidates.
 
-Links form components, so not all of them are needed: in ``ROUNDS`` rounds every row is
-compared with one row only, of those that lead a column among rows of about one size
-the one that shares most columns with it. The product then leaves out pairs that are
-connected by that. Copies are thus never expanded into all pairs, and no link between
-different components is lost.
+Links form components, so not all of them are needed. In ``ROUNDS`` rounds every row is
+compared with a few of those that lead a column among rows of about one size, the ones that
+share most columns with it: with one in the first round, and with ``MORE`` times as many, of
+as many more leaders, in each further one, where only columns are left whose rows are not
+all connected. The product then leaves out pairs that are connected by that. Copies are
+thus never expanded into all pairs, and no link between different components is lost.
 
 Words are lower-cased (A-Z only). A text with fewer words than ``n`` has one n-gram,
 all its words; one without words or a null text has none and links with nothing. Rows
@@ -43,7 +44,8 @@ PERCENT = 85
 EXTRA, EVERY = 4, 100
 #: Blocks of columns whose counts bound the overlap of two rows.
 BLOCKS = 128
-ROUNDS = 3
+#: Rounds of leaders, and how many times more of them there are in each.
+ROUNDS, MORE = 3, 8
 #: Counters of the order of columns (a power of two), and parts they are summed in.
 COUNTERS = 1 << 22
 PARTS = 256
@@ -206,29 +208,31 @@ def links(rows: DataFrame, docs: DataFrame, n: int = N, percent: int = PERCENT)
     both = F.zip_with("counts_a", "counts_b", lambda x, y: F.least(x * F.col("step_a"), y * F.col("step_b")))
     possible = (100 * F.least(a, b) >= percent * F.greatest(a, b)) & (F.aggregate(both, F.lit(0).cast("long"), lambda x, y: x + y) >= least_overlap(a, b, percent))
 
-    def apart(links: DataFrame | None) -> DataFrame:
-        """The entries of columns whose rows are not all connected, with the row's root."""
-        if links is None:
-            return entries.withColumn("root", F.col("class"))
-        known = components(links).select(F.col("node").alias("class"), "root")
-        joined = materialise(entries.join(known, "class", "left").withColumn("root", F.coalesce("root", "class")), "entries")
+    def apart(rows: DataFrame, links: DataFrame) -> DataFrame:
+        """The rows of columns that are not all connected yet, with their roots; a column that is stays so."""
+        known = components(links).select(F.col("node").alias("class"), F.col("root").alias("known"))
+        joined = rows.join(known, "class", "left").withColumn("root", F.coalesce("known", "class")).drop("known")
         several = joined.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("gram")
-        return joined.join(several, "gram")
+        return materialise(joined.join(several, "gram"), "open")
 
-    sure = None
+    sure, open_ = None, entries.withColumn("root", F.col("class"))
     for turn in range(ROUNDS):
-        rows = apart(sure).withColumn("about", F.floor(F.log("size") / F.log(F.lit(100 / percent)) + turn / ROUNDS))
+        rows = open_.withColumn("about", F.floor(F.log("size") / F.log(F.lit(100 / percent)) + turn / ROUNDS))
         mark = F.xxhash64(F.lit(turn), "class")
-        leads = rows.groupBy("gram", "about").agg(F.min_by("class", mark).alias("a"), F.min_by("root", mark).alias("root_a"))
-        led = rows.join(leads, ["gram", "about"]).where(F.col("root") != F.col("root_a")).groupBy(F.col("class").alias("b"), "a").agg(F.count("*").alias("shared"))
-        best = led.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a"))
-        best = best.join(sizes.select(*side("a")), F.col("a") == F.col("class_a")).join(sizes.select(*side("b")), F.col("b") == F.col("class_b"))
-        best = materialise(best.where(possible).select("a", "b"), "pairs")
+        leads = rows.groupBy("gram", "about", F.pmod(mark, F.lit(MORE**turn)).alias("deal")).agg(F.min_by("class", mark).alias("a"), F.min_by("root", mark).alias("root_a"))
+        led = rows.join(leads.drop("deal"), ["gram", "about"]).where(F.col("root") != F.col("root_a")).groupBy(F.col("class").alias("b"), "a").agg(F.count("*").alias("shared"))
+        led = led.join(sizes.select(*side("a")), F.col("a") == F.col("class_a")).join(sizes.select(*side("b")), F.col("b") == F.col("class_b")).where(possible)
+        # A row has at most its columns times MORE**turn leaders.
+        most = F.slice(F.sort_array(F.collect_list(F.struct("shared", "a")), asc=False), 1, MORE**turn)
+        best = materialise(led.groupBy("b").agg(most.alias("most")).select(F.explode("most.a").alias("a"), "b"), "pairs")
         found = materialise(verified(best, texts_of(best), n, percent), "links")
         sure = found if sure is None else sure.unionByName(found)
+        if found.isEmpty():
+            break
+        open_ = apart(open_, sure)
 
     # The product over columns whose rows are not all connected by then.
-    open_ = apart(sure).join(sizes.drop("size"), "class")
+    open_ = open_.join(sizes.drop("size"), "class")
     first = F.col("place") <= F.col("size") - least_overlap(F.col("size"), F.col("size"), percent) + extra_of(F.col("size"))
     left, right = open_.where(first).select("gram", *side("a", "root")), open_.select("gram", *side("b", "root"))
     smaller = (a < b) | ((a == b) & (F.col("class_a") < F.col("class_b")))
