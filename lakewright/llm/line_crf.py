@@ -273,10 +273,11 @@ def learn(docs: DataFrame, labels: DataFrame, each: int = TRAIN_TEXTS) -> Chain:
             found = Lines(hasher, column(batch, "text"))
             passed = pa.array(~found.base_failed)
             rows = [found.features[a:b].tobytes() for a, b in zip(found.first_line, found.first_line[1:], strict=False)]
-            yield pa.record_batch([pa.array(rows, pa.binary()), column(batch, "label").cast(pa.int32()), column(batch, "doc_id").cast(pa.int64())], ["f", "label", "doc_id"]).filter(passed)
+            yield pa.record_batch([pa.array(rows, pa.binary()), column(batch, "label").cast(pa.int32()), column(batch, "turn")], ["f", "label", "turn"]).filter(passed)
 
-    rows = sample_of(docs, labels, "quality", each).mapInArrow(measured, "f binary, label int, doc_id long").collect()
-    rows.sort(key=lambda r: (r.doc_id, len(r.f)))
+    sample = sample_of(docs, labels, "quality", each).withColumn("turn", F.xxhash64("doc_id", "text"))
+    rows = sample.mapInArrow(measured, "f binary, label int, turn long").collect()
+    rows.sort(key=lambda r: (r.turn, r.label, len(r.f)))
     width = len(FEATURES)
     parts = [np.frombuffer(r.f, np.float64).reshape(-1, width) for r in rows]
     first = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)

@@ -11,7 +11,7 @@ order and packed whenever it holds ``BUFFER`` tokens, so memory is bounded whate
 rows share a shard.
 
 A null or empty text is its end id alone. Rows with equal ids are packed one by one and
-told apart by ``text_nos``; a null id stays null. An empty table gives no sequences.
+told apart by ``text_nos``; a null id stays null, and ids keep their type. An empty table gives no sequences.
 Other columns are not looked at.
 """
 
@@ -107,18 +107,14 @@ def best_fit(sizes: np.ndarray, length: int) -> list[list[int]]:
     return sequences
 
 
-_SCHEMA = pa.schema(
-    [("shard", pa.int64()), ("sequence", pa.int64()), ("n_tokens", pa.int32())]
-    + [(c, pa.list_(pa.int32())) for c in ("input_ids", "position_ids", "cu_seqlens")]
-    + [(c, pa.list_(pa.int64())) for c in ("doc_ids", "text_nos", "pieces")]
-)
+_NAMES = ["shard", "sequence", "n_tokens", "input_ids", "position_ids", "cu_seqlens", "doc_ids", "text_nos", "pieces"]
 
 
 class _Shard:
     """Texts of one shard on their way into sequences."""
 
-    def __init__(self, number: int, length: int, pad: int) -> None:
-        self.number, self.length, self.pad = number, length, pad
+    def __init__(self, number: int, length: int, pad: int, id_type: pa.DataType) -> None:
+        self.number, self.length, self.pad, self.id_type = number, length, pad, id_type
         self.texts = self.done = self.tokens = 0
         self.ids: list[np.ndarray] = []
         self.of: list[tuple] = []
@@ -158,9 +154,9 @@ class _Shard:
                     pa.array([c[-1] for c in ends], pa.int32()),
                     *lists,
                     pa.array(ends, pa.list_(pa.int32())),
-                    *(pa.array([[o[k] for o in row] for row in of], pa.list_(pa.int64())) for k in range(3)),
+                    *(pa.array([[o[k] for o in row] for row in of], pa.list_(kind)) for k, kind in enumerate((self.id_type, pa.int64(), pa.int64()))),
                 ],
-                schema=_SCHEMA,
+                _NAMES,
             )
         self.done += len(sequences)
         self.ids, self.of, self.tokens = [], [], 0
@@ -173,7 +169,7 @@ def pack(docs: DataFrame, vocabulary: Vocabulary, length: int = LENGTH, shard: i
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-total // shard))
     tie = F.xxhash64(F.coalesce("text", F.lit("")))
-    dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", tie.alias("tie"))
+    dealt = docs.select("doc_id", "text", tie.alias("tie"))
     dealt = dealt.withColumn("shard", F.pmod(F.xxhash64("doc_id", "tie"), F.lit(shards)).cast("long"))
 
     def packed(batches):
@@ -184,7 +180,7 @@ def pack(docs: DataFrame, vocabulary: Vocabulary, length: int = LENGTH, shard: i
                 if now is None or now.number != number:
                     if now:
                         yield from now.packed()
-                    now = _Shard(number, length, vocabulary.end)
+                    now = _Shard(number, length, vocabulary.end, column(batch, "doc_id").type)
                 ids = np.array(encoding.encode_ordinary(text), np.int32) if text else end[:0]
                 now.add(doc_id, np.concatenate([ids, end]))
                 if now.tokens >= buffer:
@@ -192,8 +188,9 @@ def pack(docs: DataFrame, vocabulary: Vocabulary, length: int = LENGTH, shard: i
         if now:
             yield from now.packed()
 
+    id_type = docs.schema["doc_id"].dataType.simpleString()
     in_order = dealt.repartition("shard").sortWithinPartitions("shard", "doc_id", "tie")
     return in_order.select("doc_id", "text", "shard").mapInArrow(
         packed,
-        "shard long, sequence long, n_tokens int, input_ids array<int>, position_ids array<int>, cu_seqlens array<int>, doc_ids array<long>, text_nos array<long>, pieces array<long>",
+        f"shard long, sequence long, n_tokens int, input_ids array<int>, position_ids array<int>, cu_seqlens array<int>, doc_ids array<{id_type}>, text_nos array<long>, pieces array<long>",
     )

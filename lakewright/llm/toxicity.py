@@ -6,16 +6,21 @@ offends. The weights come from labels of whole texts; afterwards the sentence
 probabilities tell where the offence is.
 
 A word counts by itself and by its beginnings of 4, 5 and 6 bytes, in lower case and
-without closing punctuation. A sentence counts by what its known words add to the bias, so one without any has
-probability 0. All such sentences of a text together add at most the share of toxic texts among
-labelled ones without known words, and never more than ``UNSHOWN``, so no text offends by its length. A sentence ends at ``.``, ``?`` or ``!`` at the end of a
-word, or at a line break. Null and empty texts have no sentence and score 0. Rows
-with equal ids are scored one by one; a null id counts as the empty text for its fold.
+without closing punctuation; words of toxic texts and of clean ones both have weights. What the
+words of a sentence add to the bias, if that is above 0, is the rate at which it offends (bent
+to meet 0 smoothly), and its probability is one minus the exponent of the negative rate. The bias is below
+0 and the weight of a clean word never above it, so sentences without a toxic word, and those whose
+clean words outweigh it, count exactly 0 and no text offends by its length. Each text with words has one leak
+besides, a rate that grows with the suspicion of its sentences below 0 and never adds more than ``UNSHOWN`` however many they
+are, so that texts without an offending sentence are ranked too. The fit maximises the very formula that scores. A sentence ends at ``.``, ``?`` or ``!`` at the end of a
+word, or at a line break. Null and empty texts have no sentence and score 0, and so does every text
+if no label is toxic or the labels are empty; an empty table gives an empty result. Rows
+with equal ids are scored one by one, ids may be of any type; a null id counts as the empty text for its fold. Of
+other columns none is looked at; :func:`keep_clean` carries them.
 """
 
 from __future__ import annotations
 
-import warnings
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,14 +33,20 @@ from lakewright.llm.words import U64, Hasher, column, mix, slices, text_bytes
 
 #: Labelled texts of either class that the model is fitted on.
 TRAIN_TEXTS = 4000
-#: Words and beginnings that may carry a weight, and the texts that must hold one.
+#: Words and beginnings of either kind, toxic and clean, that may carry a weight, and the texts that must hold one.
 FEATURES = 50_000
 LEAST_TEXTS = 3
 BEGINNINGS = (4, 5, 6)
-#: Largest slope, as a share of the weight of all texts, at which the fit has settled, and rounds after which it warns.
-SETTLED = 1e-6
-ROUNDS = 20_000
-#: Most that all sentences without a known word add to the score of a text.
+#: Largest slope, as a share of the weight of all texts, at which the fit has settled, and most rounds; its steps shrink.
+SETTLED = 1e-5
+ROUNDS = 4000
+#: Weight of the prior, as a share of the weight of all texts.
+PRIOR = 1e-4
+#: Score of a sentence without known words, which others must make up for.
+BIAS = -1.0
+#: Sentences of score 0 that make half of the largest leak.
+HALF = 20.0
+#: Most that the leak of a text adds to its score.
 UNSHOWN = 0.25
 
 
@@ -78,9 +89,19 @@ class Sentences:
             self.word.append(long)
 
 
+def rate(score: np.ndarray) -> np.ndarray:
+    """The score of a sentence above 0, less one half from 1 on and bent below, so that its slope has no step."""
+    return np.clip(score, 0, 1) ** 2 / 2 + np.maximum(score - 1, 0)
+
+
+def suspicion(score: np.ndarray) -> np.ndarray:
+    """What a sentence adds to the doubt about a text: 1 from a score of 0 on, never less than one without known words."""
+    return np.exp(np.clip(score, BIAS, 0))
+
+
 @dataclass(frozen=True)
 class Model:
-    """Weight of each feature, in order of features, of a sentence without any, and what those may add to a text's score."""
+    """Weight of each feature, in order of features, the bias of a sentence, and the largest leak of a text as a probability."""
 
     features: np.ndarray
     weights: np.ndarray
@@ -98,51 +119,57 @@ class Model:
             same = self.features[where] == feature[hit] if len(self.features) else np.zeros(0, bool)
             yield texts.sentence[word[hit[same]]], where[same]
 
-    def sentences(self, texts: Sentences) -> np.ndarray:
-        """Probability of each sentence beyond that of one without a known feature."""
+    def scores(self, texts: Sentences) -> np.ndarray:
+        """Bias and weights of each sentence."""
         score = np.full(texts.n_sentences, self.bias)
-        known = np.zeros(texts.n_sentences, bool)
         for sentence, where in self.found(texts):
             score += np.bincount(sentence, weights=self.weights[where], minlength=texts.n_sentences)
-            known[sentence] = True
-        p, rest = (1 / (1 + np.exp(-np.clip(x, -30, 30))) for x in (score, self.bias))
-        return np.where(known, np.maximum(p - rest, 0) / (1 - rest), 0.0)
+        return score
+
+    def sentences(self, texts: Sentences) -> np.ndarray:
+        """Probability of each sentence."""
+        return -np.expm1(-rate(self.scores(texts)))
 
     def texts(self, texts: Sentences) -> np.ndarray:
-        """Noisy-or of the sentences of each text, with the bounded part of those without a known feature."""
-        quiet = np.zeros(texts.n_sentences + 1)
-        np.cumsum(np.log1p(-np.minimum(self.sentences(texts), 1 - 1e-12)), out=quiet[1:])
-        first = texts.first_sentence
-        unshown = self.unshown * -np.expm1(-np.logaddexp(0, self.bias) * np.diff(first))
-        return 1 - np.exp(np.minimum(quiet[first[1:]] - quiet[first[:-1]], 0)) * (1 - unshown)
-
-
-def fit(sentence: np.ndarray, feature: np.ndarray, text: np.ndarray, label: np.ndarray, weight: np.ndarray, width: int, start: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
-    """Maximum likelihood of the text labels under noisy-or, by Adam until the gradient settles; ``start`` breaks the symmetry."""
-    held, sentence = np.unique(sentence, return_inverse=True)
-    n = len(held)
-    # Sentences without a feature are all alike: their number in each text is enough.
-    plain = np.bincount(text, minlength=len(label)) - np.bincount(text[held], minlength=len(label))
-    text = text[held]
-    theta = np.append(start, -4.0)
+        """Noisy-or of the sentences of each text and its leak."""
+        score, first = self.scores(texts), texts.first_sentence
+        total, doubt = (np.concatenate([[0], np.cumsum(x)]) for x in (rate(score), suspicion(score)))
+        rates, doubt = (np.maximum(x[first[1:]] - x[first[:-1]], 0) for x in (total, doubt))
+        return -np.expm1(np.log1p(-self.unshown) * doubt / (doubt + HALF) - rates)
+
+
+def fit(sentence: np.ndarray, feature: np.ndarray, text: np.ndarray, label: np.ndarray, weight: np.ndarray, plain: np.ndarray, start: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
+    """Weights and largest leak of the greatest likelihood of the text labels, by Adam until the gradient settles.
+
+    ``start`` breaks the symmetry; where it is negative the weight stays at most 0. ``text`` is that of each sentence;
+    of sentences without a feature that starts above 0 only the number in each text, ``plain``, matters.
+    """
+    width, n, all_weight = len(start), len(text), weight.sum()
+    most_leak = np.log(-np.log1p(-UNSHOWN))
+    centre = np.append(np.zeros(width), most_leak - 2)
+    theta = np.append(start, centre[-1])
+    ceiling = np.append(np.where(start < 0, 0.0, np.inf), most_leak)
     momentum, square = np.zeros(width + 1), np.zeros(width + 1)
+    plain = plain * np.exp(BIAS)
     for r in range(1, rounds + 1):
-        score = theta[-1] + np.bincount(sentence, weights=theta[feature], minlength=n)
-        p, rest = (1 / (1 + np.exp(-np.clip(x, -30, 30))) for x in (score, theta[-1]))
-        quiet = np.bincount(text, weights=np.log1p(-np.minimum(p, 1 - 1e-9)), minlength=len(label)) + plain * np.log1p(-rest)
-        loud = np.maximum(1 - np.exp(quiet), 1e-9)
-        pull = np.where(label == 1, np.exp(quiet) / loud, -1.0) * weight
-        up = pull[text] * p
-        slope = np.append(np.bincount(feature, weights=up[sentence], minlength=width), up.sum() + (pull * plain).sum() * rest) - 1e-5 * theta * weight.sum() / 100
-        if np.abs(slope).max() <= SETTLED * weight.sum():
+        score = BIAS + np.bincount(sentence, weights=theta[feature], minlength=n)
+        each = suspicion(score)
+        doubt = plain + np.bincount(text, weights=each, minlength=len(label))
+        leak = np.exp(theta[-1]) * doubt / (doubt + HALF)
+        quiet = np.exp(-leak - np.bincount(text, weights=rate(score), minlength=len(label)))
+        pull = np.where(label == 1, quiet / np.maximum(1 - quiet, 1e-9), -1.0) * weight
+        growth = (np.exp(theta[-1]) * HALF / (doubt + HALF) ** 2)[text] * each
+        up = pull[text] * (np.clip(score, 0, 1) + np.where((score > BIAS) & (score < 0), growth, 0))
+        slope = np.append(np.bincount(feature, weights=up[sentence], minlength=width), (pull * leak).sum())
+        slope -= PRIOR * all_weight * (theta - centre)
+        stuck = (theta >= ceiling) & (slope > 0)
+        if np.abs(np.where(stuck, 0, slope)).max() <= SETTLED * all_weight:
             break
         momentum = 0.9 * momentum + 0.1 * slope
         square = 0.99 * square + 0.01 * slope**2
-        step = 0.05 / (1 + r / 500)
-        theta = theta + step * (momentum / (1 - 0.9**r)) / (np.sqrt(square / (1 - 0.99**r)) + 1e-9)
-    else:
-        warnings.warn(f"toxicity: the gradient has not settled in {rounds} rounds", stacklevel=2)
-    return theta[:-1], float(theta[-1])
+        step = 0.05 / (1 + r / 200)
+        theta = np.minimum(theta + step * (momentum / (1 - 0.9**r)) / (np.sqrt(square / (1 - 0.99**r)) + 1e-9), ceiling)
+    return theta[:width], float(-np.expm1(-np.exp(theta[-1])))
 
 
 def learn(docs: DataFrame, labels: DataFrame, each: int = TRAIN_TEXTS, width: int = FEATURES) -> Model:
@@ -163,11 +190,13 @@ def learn(docs: DataFrame, labels: DataFrame, each: int = TRAIN_TEXTS, width: in
 
     seen = sample.mapInArrow(words_of, "feature long, clean long, toxic long").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     odds = F.log((F.col("toxic") + 0.5) / (F.col("clean") + 0.5))
-    rows = seen.where(F.col("toxic") >= LEAST_TEXTS).withColumn("odds", odds).where("odds > 1").orderBy(F.desc("odds"), "feature").limit(width).collect()
+    held = seen.where(F.col("toxic") + F.col("clean") >= LEAST_TEXTS).withColumn("odds", odds)
+    # The sample is bounded, and so are the features of either kind.
+    rows = [r for kind in ("odds > 1", "odds < -1") for r in held.where(kind).orderBy(F.desc(F.abs("odds")), "feature").limit(width).select("feature", "odds").collect()]
     features = np.array([r.feature for r in rows], np.int64).view(U64)
     order = np.argsort(features)
-    features, start = features[order], np.array([r.odds for r in rows])[order] / 2
-    blank = Model(features, np.zeros(len(features)), 0.0)
+    features, start = features[order], np.array([r.odds for r in rows], float)[order] / 2
+    blank = Model(features, np.zeros(len(features)), BIAS)
 
     def bags(batches):
         hasher = Hasher()
@@ -175,30 +204,32 @@ def learn(docs: DataFrame, labels: DataFrame, each: int = TRAIN_TEXTS, width: in
             texts = Sentences(hasher, column(batch, "text"))
             pairs = list(blank.found(texts))
             sentence, where = (np.concatenate([p[k] for p in pairs]) for k in (0, 1))
-            order = np.argsort(sentence, kind="stable")
+            loud = np.zeros(texts.n_sentences, bool)
+            loud[sentence[start[where] > 0]] = True
+            sentence, where = sentence[loud[sentence]], where[loud[sentence]]
+            order = np.lexsort((where, sentence))
             sentence, where = sentence[order], where[order]
             cut = np.searchsorted(sentence, texts.first_sentence)
             local = sentence - np.repeat(texts.first_sentence[:-1], np.diff(cut))
-            take = lambda x: pa.array([x[a:b] for a, b in zip(cut, cut[1:], strict=False)], pa.list_(pa.int32()))
-            yield pa.record_batch([column(batch, "doc_id").cast(pa.int64()), column(batch, "label").cast(pa.int32()), pa.array(np.diff(texts.first_sentence).astype(np.int32)), take(local.astype(np.int32)), take(where.astype(np.int32))], ["doc_id", "label", "n", "sentence", "feature"])
-
-    found = sample.mapInArrow(bags, "doc_id long, label int, n int, sentence array<int>, feature array<int>").collect()
-    found.sort(key=lambda r: (r.doc_id, r.n, r.feature))
-    if not found:
-        return Model(np.empty(0, U64), np.empty(0), -30.0)
-    label = np.array([r.label for r in found])
-    count = np.array([r.n for r in found])
-    base = np.concatenate([[0], np.cumsum(count)])
-    sentence = np.concatenate([np.array(r.sentence, np.int64) + b for r, b in zip(found, base, strict=False)])
-    feature = np.concatenate([np.array(r.feature, np.int64) for r in found])
+            take = lambda x: pa.array([x[a:b].astype(np.int32).tobytes() for a, b in zip(cut, cut[1:], strict=False)], pa.binary())
+            yield pa.record_batch([column(batch, "turn"), column(batch, "label").cast(pa.int32()), pa.array(np.diff(texts.first_sentence)), take(local), take(where)], ["turn", "label", "n", "sentence", "feature"])
+
+    turned = sample.withColumn("turn", F.xxhash64("doc_id", "text"))
+    found = turned.mapInArrow(bags, "turn long, label int, n long, sentence binary, feature binary").where("n > 0").collect()
+    found.sort(key=lambda r: (r.turn, r.label, bytes(r.feature)))
+    label = np.array([r.label for r in found], int)
+    if not (label == 1).any():
+        return Model(np.empty(0, U64), np.empty(0), BIAS)
+    feature = [np.frombuffer(r.feature, np.int32) for r in found]
+    owner = np.repeat(np.arange(len(found)), [len(x) for x in feature])
+    place = np.concatenate([np.frombuffer(r.sentence, np.int32) for r in found])
+    where, sentence = np.unique(owner << 32 | place, return_inverse=True)
     # The sample is even; the weight of the other texts restores their share among all labelled ones.
     share = labels.dropna(subset=["doc_id", "toxic"]).agg(F.sum((F.col("toxic") > 0).cast("int")).alias("bad"), F.count("*").alias("all")).first()
     ratio = ((share["all"] - (share.bad or 0)) / max(1, (label == 0).sum())) / (max(1, share.bad or 0) / max(1, (label == 1).sum()))
-    weight = np.where(label == 1, 1.0, ratio)
-    weights, bias = fit(sentence, feature, np.repeat(np.arange(len(found)), count), label, weight, len(features), start)
-    silent = np.array([not r.feature for r in found])
-    unshown = weight[silent & (label == 1)].sum() / max(weight[silent].sum(), 1e-9)
-    return Model(features, weights, bias, min(UNSHOWN, float(unshown)))
+    plain = np.array([r.n for r in found]) - np.bincount(where >> 32, minlength=len(found))
+    weights, leak = fit(sentence, np.concatenate(feature), where >> 32, label, np.where(label == 1, 1.0, ratio), plain, start)
+    return Model(features, weights, BIAS, leak)
 
 
 def _scored(model: Model, batches):

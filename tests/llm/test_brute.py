@@ -352,3 +352,30 @@ def test_pipeline(spark, docs, texts):
             assert len(kept) < len(texts) if read is None else len(kept) <= read
             at, read = now, len(kept)
     assert now.count() > 0
+
+
+def test_toxicity_fit_scores_as_it_learns():
+    """A text's score is the noisy-or of its sentences and its bounded doubt, word by word in plain Python."""
+    rng = np.random.default_rng(5)
+    vocabulary = [f"w{i:02}" for i in range(30)]
+    model = toxicity.Model(np.sort(toxicity.Sentences(Hasher(), pa.array([" ".join(vocabulary)])).feature[0]), np.empty(0), toxicity.BIAS, 0.1)
+    of = {w: int(np.flatnonzero(model.features == toxicity.Sentences(Hasher(), pa.array([w])).feature[0][0])[0]) for w in vocabulary}
+    model = toxicity.Model(model.features, rng.normal(size=30), toxicity.BIAS, 0.1)
+    bags = [[list(rng.choice(vocabulary, rng.integers(1, 5))) for _ in range(rng.integers(1, 60))] for _ in range(40)]
+    found = model.texts(toxicity.Sentences(Hasher(), pa.array(["\n".join(map(" ".join, bag)) for bag in bags])))
+    for bag, score in zip(bags, found, strict=True):
+        sums = [toxicity.BIAS + sum(model.weights[of[w]] for w in sentence) for sentence in bag]
+        rates = sum(0 if z <= 0 else z * z / 2 if z < 1 else z - 0.5 for z in sums)
+        doubt = sum(math.exp(min(0, max(toxicity.BIAS, z))) for z in sums)
+        assert math.isclose(score, 1 - math.exp(math.log(0.9) * doubt / (doubt + toxicity.HALF) - rates), abs_tol=1e-9)
+
+
+def test_toxicity_fit_finds_the_bad_word():
+    """Texts of many plain sentences: one bad word decides, a clean word that stands beside it takes it back."""
+    label = np.array([1] * 40 + [0] * 40)
+    text = np.arange(80)
+    sentence = np.concatenate([np.arange(80), np.arange(40, 80)])
+    feature = np.array([0] * 80 + [1] * 40)
+    weights, leak = toxicity.fit(sentence, feature, text, label, np.ones(80), np.full(80, 50), np.array([1.5, -1.0]))
+    z = toxicity.BIAS + np.array([weights[0], weights.sum()])
+    assert 1 - np.exp(-toxicity.rate(z))[0] > 0.9 and toxicity.rate(z)[1] < 0.1 and weights[1] <= 0 and leak < 0.05

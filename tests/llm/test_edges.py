@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lakewright.llm import decontamination, interpolation, jaccard, line_crf, mixing, packing, pages, pii, quotes, toxicity
@@ -147,6 +148,22 @@ def test_line_labels(docs, labels, none):
     assert line_crf.judge_texts(none, line_crf.learn(none, labels.where("false"))).collect() == []
 
 
+def test_ids_of_text(docs, labels):
+    named, known = (t.withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string"))) for t in (docs, labels))
+    said = sorted((None if i is None else f"d{i}" for i in ALL), key=str)
+    assert ids(toxicity.score_texts(named, toxicity.learn(named, known))) == said
+    assert ids(line_crf.judge_texts(named, line_crf.learn(named, known))) == said
+    packed = packing.pack(named, packing.Vocabulary.read(), length=64).collect()
+    assert len({(r.shard, i, n) for r in packed for i, n in zip(r.doc_ids, r.text_nos, strict=True)}) == len(ROWS)
+    assert {i for r in packed for i in r.doc_ids} == set(said)
+
+
+def test_no_labels(docs, labels):
+    for known in (labels.where("false"), labels.where("toxic = 0")):
+        assert {r.score for r in toxicity.score_texts(docs, toxicity.learn(docs, known)).collect()} == {0.0}
+    assert not any(r.kept for r in line_crf.judge_texts(docs, line_crf.learn(docs, labels.where("false"))).collect())
+
+
 def test_pages(spark):
     rows = [(1, "http://a.b/c", "<article><p>x  y</p></article>"), (1, None, None), (None, "", ""), (2, "http://a.b/c", "<p>" + "w " * 50_000), (2, "http://a.b/c", "no markup &amp; all"), (3, "//", "<")]
     table = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'z' AS text", "'h' AS host")
