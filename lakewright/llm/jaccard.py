@@ -220,11 +220,14 @@ def links(rows: DataFrame, docs: DataFrame, n: int = N, percent: int = PERCENT)
         rows = open_.withColumn("about", F.floor(F.log("size") / F.log(F.lit(100 / percent)) + turn / ROUNDS))
         mark = F.xxhash64(F.lit(turn), "class")
         leads = rows.groupBy("gram", "about", F.pmod(mark, F.lit(MORE**turn)).alias("deal")).agg(F.min_by("class", mark).alias("a"), F.min_by("root", mark).alias("root_a"))
-        led = rows.join(leads.drop("deal"), ["gram", "about"]).where(F.col("root") != F.col("root_a")).groupBy(F.col("class").alias("b"), "a").agg(F.count("*").alias("shared"))
-        led = led.join(sizes.select(*side("a")), F.col("a") == F.col("class_a")).join(sizes.select(*side("b")), F.col("b") == F.col("class_b")).where(possible)
-        # A row has at most its columns times MORE**turn leaders.
+        # Of a linked row and one without links only the latter looks for the other.
+        useful = (F.col("root") != F.col("root_a")) & ((F.col("class") == F.col("root")) | (F.col("a") != F.col("root_a")))
+        led = rows.join(leads.drop("deal"), ["gram", "about"]).where(useful).groupBy(F.col("class").alias("b"), "a").agg(F.count("*").alias("shared"))
+        # A row has at most its columns times MORE**turn leaders; it keeps MORE**turn, before sizes and counts are looked up.
         most = F.slice(F.sort_array(F.collect_list(F.struct("shared", "a")), asc=False), 1, MORE**turn)
-        best = materialise(led.groupBy("b").agg(most.alias("most")).select(F.explode("most.a").alias("a"), "b"), "pairs")
+        led = led.groupBy("b").agg(most.alias("most")).select(F.explode("most.a").alias("a"), "b")
+        led = led.join(sizes.select(*side("a")), F.col("a") == F.col("class_a")).join(sizes.select(*side("b")), F.col("b") == F.col("class_b")).where(possible)
+        best = materialise(led.select("a", "b"), "pairs")
         found = materialise(verified(best, texts_of(best), n, percent), "links")
         sure = found if sure is None else sure.unionByName(found)
         if found.isEmpty():
