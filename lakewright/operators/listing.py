@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lakewright.errors import LakeError
 from lakewright.functions import filenames
-from lakewright.functions.skew import salted_join
+from lakewright.functions.skew import sorted_join
 from lakewright.functions.text import strip
 
 
@@ -28,7 +28,7 @@ def rename_plan(files: DataFrame, renames: DataFrame) -> DataFrame:
     """``files(name)`` with ``new_name`` by ``renames(name, new_name)``; a blank
     new name keeps the old one. ``name`` may repeat, ``renames`` names each once."""
     given = renames.select(strip(F.col("name")).alias("name"), strip(F.col("new_name")).alias("given"))
-    joined = salted_join(files, given, ["name"], "left")
+    joined = sorted_join(files, given, "name", "left")
     kept = F.col("given").isNull() | (F.col("given") == "")
     return joined.withColumn("new_name", F.when(kept, F.col("name")).otherwise(F.col("given"))).drop("given")
 
