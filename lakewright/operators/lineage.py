@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lakewright.errors import LakeError
 from lakewright.functions import sqltext
-from lakewright.functions.skew import salted_join
+from lakewright.functions.skew import salted_join, sorted_join
 from lakewright.session import materialise
 
 
@@ -184,7 +184,7 @@ def longest_ways(edges: DataFrame, most: int) -> DataFrame:
         ahead = ways.filter(F.col("far") == k).select("key", F.col("needs").alias("by"))
         found, tail = ways, ways
         for _ in range(REACH - 1):
-            tail = salted_join(ahead, tail.withColumnRenamed("key", "by"), ["by"], spread_by=["key"])
+            tail = sorted_join(ahead, tail.withColumnRenamed("key", "by"), "by")
             tail = tail.select("key", "needs", (F.col("far") + k).alias("far"))
             found = found.unionByName(tail)
         seen = Observation()
@@ -206,13 +206,12 @@ def view_levels(views: DataFrame, edges: DataFrame) -> DataFrame:
     known = keys.select("key")
     wanted = edges.select(F.lower("path").alias("key"), F.lower("needs").alias("needs")).distinct()
     wanted = wanted.filter("key <> needs")
-    inner = salted_join(
-        wanted, known.withColumnRenamed("key", "needs"), ["needs"], "left_semi", ["key"]
-    ).join(known, "key", "left_semi")
+    inner = salted_join(wanted, known.withColumnRenamed("key", "needs"), ["needs"], "left_semi", ["key"])
+    inner = sorted_join(inner, known, "key", "left_semi")
     most = keys.count()
     deepest = longest_ways(inner, most).groupBy("key").agg(F.max("far").alias("far"))
     level = F.when(F.coalesce("far", F.lit(0)) < most, F.coalesce("far", F.lit(0)))
-    return keys.join(deepest, "key", "left").select("path", level.alias("level"))
+    return sorted_join(keys, deepest, "key", "left").select("path", level.alias("level"))
 
 
 def view_definition(lake, path: str) -> tuple[str, list[str] | None]:
