@@ -100,6 +100,8 @@ def rewrite_references(
     if len(root_names) >= 2:
         # One name alone could just as well be a table's alias.
         swaps = F.lower(_joined(F.col("names"), len(root_names))) == root
+    # Dealt out before the texts are taken apart: a small file of many views is few tasks.
+    views = views.repartition("path")
     chains = _chains(views).withColumns({"candidates": _candidates(root), "swaps": swaps})
     telling = chains.filter((F.size("candidates") > 0) | F.col("swaps") | F.col("after_word"))
     kept = ["path", "position", "context", "names", "after_word", "swaps"]
@@ -153,7 +155,7 @@ def rewrite_references(
         sqltext.pieces(F.col("sql")), lambda t, i: F.coalesce(F.try_element_at(F.col("changes"), i), t)
     )
     nothing = F.array().cast("array<string>")
-    return views.join(per_view, "path", "left").select(
+    return sorted_join(views, per_view, "path", "left").select(
         *views.columns,
         F.when(F.size("changes") > 0, F.array_join(new_pieces, "")).otherwise(F.col("sql")).alias("new_sql"),
         F.coalesce("references", nothing).alias("references"),
