@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lakewright.errors import LakeError
 from lakewright.functions import paths
+from lakewright.functions.skew import sorted_join
 from lakewright.lake import FOLDER, TABLE, VIEW
 from lakewright.operators import inventory as inv
 from lakewright.operators.lineage import dependency_edges, rewrite_references, view_levels
@@ -54,8 +55,8 @@ def folder_scan(
         texts, moved.select("path", "target"), source, target, outside=outside
     )
     levels = view_levels(rewritten.select("path"), dependency_edges(rewritten))
-    known = rewritten.select("path", "new_sql", "references", "notes").join(levels, "path", "left")
-    joined = moved.join(known, "path", "left")
+    known = sorted_join(rewritten.select("path", "new_sql", "references", "notes"), levels, "path", "left")
+    joined = sorted_join(moved, known, "path", "left")
     unread = (F.col("kind") == VIEW) & F.col("new_sql").isNull()
     nothing = F.array().cast("array<string>")
     return joined.select(

@@ -208,7 +208,7 @@ def q_publish_partitioned(spark, sf):
 def q_folder_scan(spark, sf):
     inv = inventory(spark, sf).select("path", "kind", "k")
     by_key = inv.select(F.col("k").alias("needs"), F.col("path").alias("other"))
-    texts = inv.filter("kind = 'VIEW'").withColumn("needs", F.floor(F.col("k") / 7)).join(by_key, "needs").select(
+    texts = inv.filter("kind = 'VIEW'").withColumn("needs", F.floor(F.col("k") / 7)).join(by_key.hint("merge"), "needs").select(
         "path", F.concat(F.lit("SELECT * FROM "), "other").alias("sql"), F.lit(None).cast("array<string>").alias("context")
     )
     out = folder_scan(inv.select("path", "kind"), texts, "catalog", "archive.y2025")
