@@ -170,7 +170,8 @@ def select_layers(inventory: DataFrame, root: str, names: list[str] | None = Non
     cleaned = list(dict.fromkeys(n.strip().replace("/", ".") for n in names))
     wanted = inventory.sparkSession.createDataFrame([(n,) for n in cleaned], "suffix string")
     ends = available.select("path", "kind", F.explode(_suffixes(F.col("path"))).alias("suffix"))
-    hits = salted_join(ends, wanted, ["suffix"], spread_by=["path"])
+    # The few names go to the rows: their frame, without a known size, would not be the one broadcast.
+    hits = ends.join(F.broadcast(wanted), "suffix")
     found = {r["suffix"] for r in hits.select("suffix").distinct().collect()}
     absent = [n for n in cleaned if n not in found]
     if absent:
