@@ -21,6 +21,8 @@ from lakewright.operators import records
 from lakewright.session import materialise
 
 NOT_VALID, ENTITY = "not valid against the schema", "entity reference"
+#: Records read, and rows of elements told, at a time: a task holds no more of them as objects.
+RECORDS, TOLD = 64, 4096
 ELEMENTS = (
     "id string, issue string, line int, message string, path string, n int, parent int, owner string, holder string, "
     "name string, shown string, slot string, turn int, type string, text string, attributes array<string>, open boolean"
@@ -104,7 +106,10 @@ def elements(flagged: DataFrame, rules: schemas.Rules | None) -> DataFrame:
     def parsed(batches):
         for batch in batches:
             out = []
-            for r in batch.to_pylist():
+            for r in (r for at in range(0, batch.num_rows, RECORDS) for r in batch.slice(at, RECORDS).to_pylist()):
+                if len(out) >= TOLD:
+                    yield pa.RecordBatch.from_pylist(out, schema=schema)
+                    out = []
                 if r["issue"] == records.WRONG_ROOT:
                     out.append({k: r[k] for k in ("id", "issue", "line", "message")})
                     continue

@@ -124,3 +124,20 @@ def test_rules(schema):
     assert set(root.names) == {f"{{{MDB}}}{n}" for n in ("key", "when", "note", "level", "free")} | {"{urn:parts}round", "{urn:parts}flat"}
     assert rules.types["{urn:parts}roundType"].slots == {"{urn:parts}colour": (1, 1), "{urn:parts}radius": (1, 1)}
     assert rules.types[f"{{{MDB}}}noteType"].required == {"lang"}
+
+
+def test_elements_are_told_in_small_batches():
+    class Flagged:
+        """Hands out the function that runs in a task."""
+
+        def mapInArrow(self, function, schema):
+            return function
+
+    import pyarrow as pa
+    from lakewright.operators import validation
+
+    record = {"id": "a", "issue": None, "line": None, "message": None, "xml": "<r>" + "<a/>" * 50 + "</r>"}
+    schema = pa.schema([(n, pa.int32() if n == "line" else pa.string()) for n in record])
+    told = list(validation.elements(Flagged(), None)([pa.RecordBatch.from_pylist([record] * 300, schema=schema)]))
+    assert sum(b.num_rows for b in told) == 300 * 51
+    assert max(b.num_rows for b in told) <= validation.TOLD + 51
