@@ -37,6 +37,8 @@ TRAIN_TEXTS = 4000
 FEATURES = 50_000
 LEAST_TEXTS = 3
 BEGINNINGS = (4, 5, 6)
+#: Bytes of text that a task takes apart at a time: its arrays hold some forty times as much.
+SLICE = 1 << 20
 #: Largest slope, as a share of the weight of all texts, at which the fit has settled, and most rounds; its steps shrink.
 SETTLED = 1e-5
 ROUNDS = 4000
@@ -179,7 +181,7 @@ def learn(docs: DataFrame, labels: DataFrame, each: int = TRAIN_TEXTS, width: in
 
     def words_of(batches):
         hasher = Hasher()
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             texts, label = Sentences(hasher, column(batch, "text")), column(batch, "label").to_numpy()
             owner = np.searchsorted(texts.first_sentence, texts.sentence, "right") - 1
             seen = np.unique(np.concatenate([f ^ mix(owner[w].astype(U64)) for f, w in zip(texts.feature, texts.word, strict=True)]), return_index=True)[1]
@@ -200,7 +202,7 @@ def learn(docs: DataFrame, labels: DataFrame, each: int = TRAIN_TEXTS, width: in
 
     def bags(batches):
         hasher = Hasher()
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             texts = Sentences(hasher, column(batch, "text"))
             pairs = list(blank.found(texts))
             sentence, where = (np.concatenate([p[k] for p in pairs]) for k in (0, 1))
@@ -234,7 +236,7 @@ def learn(docs: DataFrame, labels: DataFrame, each: int = TRAIN_TEXTS, width: in
 
 def _scored(model: Model, batches):
     hasher = Hasher()
-    for batch in slices(batches, "text"):
+    for batch in slices(batches, "text", SLICE):
         yield batch, model.texts(Sentences(hasher, column(batch, "text")))
 
 
@@ -264,7 +266,7 @@ def offending(docs: DataFrame, model: Model, limit: float = 0.5) -> DataFrame:
 
     def located(batches):
         hasher = Hasher()
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             data, _ = text_bytes(column(batch, "text"))
             texts = Sentences(hasher, column(batch, "text"))
             score = model.sentences(texts)
