@@ -172,16 +172,20 @@ def dependency_edges(rewritten: DataFrame) -> DataFrame:
 REACH = 4
 
 
-def longest_ways(edges: DataFrame, most: int) -> DataFrame:
-    """``(key, needs, far)``: the longest way from a key to everything behind it, in steps.
+def longest_ways(edges: DataFrame) -> tuple[DataFrame, int]:
+    """``(key, needs, far)``: the longest way from a key to everything behind it, in steps, and ``most``.
 
     ``edges(key, needs)`` are the single steps. A round knows all ways of up to ``k``
     steps; a longer one begins with a way of exactly ``k``, so only those are put in
     front of the known ones, and the next round knows ways of ``REACH`` times ``k``. Rounds
     grow with the logarithm of the longest way, each reads what the one before wrote, and
-    all have the same plan. Ways on a cycle never end: they are ``most`` steps long at last.
+    all have the same plan. Ways on a cycle never end: they are ``most`` steps long at last, one
+    more than there are single steps, and so than any other way has.
     """
-    ways, k = materialise(edges.select("key", "needs", F.lit(1).alias("far")), "ways"), 1
+    counted, k = Observation(), 1
+    steps = edges.select("key", "needs", F.lit(1).alias("far")).observe(counted, F.count(F.lit(1)).alias("steps"))
+    ways = materialise(steps, "ways")
+    most = counted.get.get("steps", 0) + 1
     while k < most:
         ahead = ways.filter(F.col("far") == k).select("key", F.col("needs").alias("by"))
         found, tail = ways, ways
@@ -195,7 +199,7 @@ def longest_ways(edges: DataFrame, most: int) -> DataFrame:
         k *= REACH
         if (seen.get["far"] or 0) < k:
             break
-    return ways
+    return ways, most
 
 
 def view_levels(views: DataFrame, edges: DataFrame) -> DataFrame:
@@ -206,12 +210,13 @@ def view_levels(views: DataFrame, edges: DataFrame) -> DataFrame:
     """
     keys = views.select(F.lower("path").alias("key"), "path").dropDuplicates(["key"])
     known = keys.select("key")
-    wanted = edges.select(F.lower("path").alias("key"), F.lower("needs").alias("needs")).distinct()
+    wanted = edges.select(F.lower("path").alias("key"), F.lower("needs").alias("needs"))
     wanted = wanted.filter("key <> needs")
-    inner = salted_join(wanted, known.withColumnRenamed("key", "needs"), ["needs"], "left_semi", ["key"])
-    inner = sorted_join(inner, known, "key", "left_semi")
-    most = keys.count()
-    deepest = longest_ways(inner, most).groupBy("key").agg(F.max("far").alias("far"))
+    inner = sorted_join(wanted, known.withColumnRenamed("key", "needs"), "needs", "left_semi")
+    # By key the rows are dealt evenly: a view names no more than its own text holds.
+    inner = sorted_join(inner, known, "key", "left_semi").distinct()
+    ways, most = longest_ways(inner)
+    deepest = ways.groupBy("key").agg(F.max("far").alias("far"))
     level = F.when(F.coalesce("far", F.lit(0)) < most, F.coalesce("far", F.lit(0)))
     return sorted_join(keys, deepest, "key", "left").select("path", level.alias("level"))
 
