@@ -14,6 +14,10 @@ The common order puts n-grams that many texts hold last. It comes from counts of
 texts in a fixed number of hash buckets; any order gives the same links, a good one gives
 fewer candidates.
 
+Columns are dealt into blocks by the smallest class that holds them, so the columns that a family of
+like texts shares mostly meet in one block, which tells a pair once and not once a column. Only
+columns that very many rows hold are joined row by row.
+
 Links form components, so not all of them are needed. In ``ROUNDS`` rounds every row is
 compared with a few of those that lead a column among rows of about one size, the ones that
 share most columns with it: with one in the first round, and with ``MORE`` times as many, of
@@ -49,6 +53,10 @@ ROUNDS, MORE = 3, 8
 #: Counters of the order of columns (a power of two), and parts they are summed in.
 COUNTERS = 1 << 22
 PARTS = 256
+#: Columns of up to so many rows are multiplied in blocks of about so many entries; others are joined.
+BLOCK_ROWS, BLOCK_ENTRIES = 1024, 50_000
+#: Pairs of entries that a block looks at in one step.
+STEP_PAIRS = 1 << 20
 #: Classes (about 50 bytes each) whose texts are picked out by a broadcast list; more are joined by hash.
 BROADCAST_CLASSES = 500_000
 
@@ -178,6 +186,38 @@ def verified(pairs: DataFrame, texts: DataFrame, n: int = N, percent: int = PERC
     return pairs.select("a", "b").join(right, "b").join(left, "a").select("a", "b", "left", "right").mapInArrow(counted, "a long, b long")
 
 
+def block_product(percent: int = PERCENT, step_pairs: int = STEP_PAIRS):
+    """A function of the entries of a block of whole columns (gram, class, size, root, first): every pair of rows in different
+    components and within the size limit of each other, smaller one first, and how many columns it shares in the block.
+    Only columns that are among the first of the smaller row count."""
+
+    def multiplied(table: pa.Table) -> pa.Table:
+        gram, kind, size, root, first = (column(table, c).to_numpy(zero_copy_only=False) for c in ("gram", "class", "size", "root", "first"))
+        # The rows of a column lie together, in the order of sizes, then classes.
+        kinds, row = np.unique(kind, return_inverse=True)
+        by = np.lexsort((row, size, gram))
+        gram, row, size, root, first = gram[by], row[by], size[by], root[by], first[by]
+        starts = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])
+        many = np.diff(np.r_[starts, len(gram)])
+        keys, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+        for k in np.unique(many[many > 1]).tolist():
+            low, high = np.triu_indices(k, 1)
+            at = starts[many == k]
+            step = max(1, step_pairs // len(low))
+            for i in range(0, len(at), step):
+                a, b = (at[i : i + step, None] + low).ravel(), (at[i : i + step, None] + high).ravel()
+                keep = first[a] & (root[a] != root[b]) & (100 * size[a] >= percent * size[b])
+                found, times = np.unique(row[a[keep]] * len(kinds) + row[b[keep]], return_counts=True)
+                keys, where = np.unique(np.r_[keys, found], return_inverse=True)
+                counts = np.bincount(where, weights=np.r_[counts, times], minlength=len(keys)).astype(np.int64)
+        size_of = np.zeros(len(kinds), np.int64)
+        size_of[row] = size
+        a, b = np.divmod(keys, max(1, len(kinds)))
+        return pa.table([kinds[a], kinds[b], size_of[a], size_of[b], counts], ["class_a", "class_b", "size_a", "size_b", "shared"])
+
+    return multiplied
+
+
 def links(rows: DataFrame, docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     """Class and root for every class that links with another; ``rows`` are :func:`sets`, written once."""
     filled = rows.where("class is not null")
@@ -201,8 +241,8 @@ def links(rows: DataFrame, docs: DataFrame, n: int = N, percent: int = PERCENT)
         found = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("tie") == F.col("t")))
         return found.groupBy("class").agg(F.first("text").alias("text"))
 
-    def side(name: str, *more: str) -> list[Column]:
-        return [F.col(c).alias(f"{c}_{name}") for c in ("class", "size", "counts", "step", *more)]
+    def side(name: str) -> list[Column]:
+        return [F.col(c).alias(f"{c}_{name}") for c in ("class", "size", "counts", "step")]
 
     a, b = F.col("size_a"), F.col("size_b")
     both = F.zip_with("counts_a", "counts_b", lambda x, y: F.least(x * F.col("step_a"), y * F.col("step_b")))
@@ -235,13 +275,23 @@ def links(rows: DataFrame, docs: DataFrame, n: int = N, percent: int = PERCENT)
         open_ = apart(open_, sure)
 
     # The product over columns whose rows are not all connected by then.
-    open_ = open_.join(sizes.drop("size"), "class")
     first = F.col("place") <= F.col("size") - least_overlap(F.col("size"), F.col("size"), percent) + extra_of(F.col("size"))
-    left, right = open_.where(first).select("gram", *side("a", "root")), open_.select("gram", *side("b", "root"))
+    held = open_.groupBy("gram").agg(F.min("class").alias("low"), F.count("*").alias("held"))
+    open_ = open_.select("gram", "class", "size", "root", first.alias("first")).join(held, "gram")
+    blocks = F.lit(max(1, -(-open_.count() // BLOCK_ENTRIES)))
+    dealt = open_.where(F.col("held") <= BLOCK_ROWS).withColumn("block", F.pmod(F.xxhash64("low"), blocks))
+    product = dealt.groupBy("block").applyInArrow(block_product(percent), "class_a long, class_b long, size_a long, size_b long, shared long")
+    often = open_.where(F.col("held") > BLOCK_ROWS)
+    left, right = often.where("first").drop("low", "held", "first"), often.drop("low", "held", "first")
+    left, right = (t.select("gram", *[F.col(c).alias(f"{c}_{name}") for c in ("class", "size", "root")]) for t, name in ((left, "a"), (right, "b")))
+    left = left.join(sizes.select(*side("a")).drop("size_a"), "class_a")
+    right = right.join(sizes.select(*side("b")).drop("size_b"), "class_b")
     smaller = (a < b) | ((a == b) & (F.col("class_a") < F.col("class_b")))
-    product = left.join(right, "gram").where(smaller & (F.col("root_a") != F.col("root_b")) & possible)
+    rest = left.join(right, "gram").where(smaller & (F.col("root_a") != F.col("root_b")) & possible)
+    rest = rest.groupBy("class_a", "class_b", "size_a", "size_b").agg(F.count("*").alias("shared"))
     enough = F.col("shared") >= F.least(extra_of(a) + 1, least_overlap(a, b, percent))
-    product = product.groupBy("class_a", "class_b", "size_a", "size_b").agg(F.count("*").alias("shared")).where(enough)
+    product = product.unionByName(rest).groupBy("class_a", "class_b", "size_a", "size_b").agg(F.sum("shared").alias("shared")).where(enough).select("class_a", "class_b")
+    product = product.join(sizes.select(*side("a")), "class_a").join(sizes.select(*side("b")), "class_b").where(possible)
     pairs = materialise(product.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")), "pairs")
     more = verified(pairs, texts_of(pairs), n, percent)
     return components(sure.unionByName(more))

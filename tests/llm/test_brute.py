@@ -379,3 +379,51 @@ def test_toxicity_fit_finds_the_bad_word():
     weights, leak = toxicity.fit(sentence, feature, text, label, np.ones(80), np.full(80, 50), np.array([1.5, -1.0]))
     z = toxicity.BIAS + np.array([weights[0], weights.sum()])
     assert 1 - np.exp(-toxicity.rate(z))[0] > 0.9 and toxicity.rate(z)[1] < 0.1 and weights[1] <= 0 and leak < 0.05
+
+
+def test_block_product():
+    """A pair is told once a block with its shared columns, whatever the steps; columns count that are among the smaller row's first."""
+    rng = np.random.default_rng(3)
+    rows = {k: (int(rng.integers(20, 40)), k % 5 if k < 10 else k) for k in range(30)}  # class: size, root
+    entries = sorted({(int(g), int(k)) for g, k in zip(rng.integers(0, 60, 700), rng.integers(0, 30, 700), strict=True)})
+    entries = [(g, k, *rows[k], (g + k) % 4 > 0) for g, k in entries]
+    table = pa.table(list(map(list, zip(*entries, strict=True))), ["gram", "class", "size", "root", "first"])
+    pairs = Counter()
+    for x in entries:
+        for y in entries:
+            if x[0] == y[0] and (x[2], x[1]) < (y[2], y[1]) and x[3] != y[3] and 100 * x[2] >= 80 * y[2] and x[4]:
+                pairs[x[1], y[1], x[2], y[2]] += 1
+    for step in (jaccard.STEP_PAIRS, 1):
+        found = jaccard.block_product(80, step)(table).to_pydict()
+        assert pairs and dict(zip(zip(*(found[c] for c in ("class_a", "class_b", "size_a", "size_b")), strict=True), found["shared"], strict=True)) == pairs
+        assert len(found["shared"]) == len(pairs) < sum(pairs.values())
+
+
+def family(spark):
+    """Families of texts that differ in a few words each: some link, many stay just below the limit."""
+    rng = np.random.default_rng(11)
+    said = []
+    for f in range(3):
+        base = [f"f{f}w{k}" for k in range(120)]
+        for k in range(25):
+            words = list(base)
+            for at in rng.choice(120, int(rng.integers(1, 9)), replace=False):
+                words[at] = f"x{f}y{k}z{at}"
+            said.append((100 * f + k, " ".join(words)))
+    return spark.createDataFrame(said, "doc_id long, text string"), dict(said)
+
+
+def test_jaccard_families(spark, monkeypatch):
+    """Some columns in blocks, others joined row by row: the same components as brute force."""
+    monkeypatch.setattr(jaccard, "BLOCK_ROWS", 4)
+    monkeypatch.setattr(jaccard, "ROUNDS", 1)
+    docs, said = family(spark)
+    grams = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, t in said.items() for w in [t.split()]}
+    root = {i: i for i in grams}
+    for i in sorted(grams):
+        for j in sorted(grams):
+            if i < j and 100 * len(grams[i] & grams[j]) >= 80 * len(grams[i] | grams[j]) and root[i] != root[j]:
+                low, high = sorted((root[i], root[j]))
+                root = {k: low if r == high else r for k, r in root.items()}
+    assert 3 < len(set(root.values())) < len(root)
+    assert {r.doc_id: r.component_id for r in jaccard.similar_texts(docs, 5, 80).collect()} == root
