@@ -227,7 +227,9 @@ def links(rows: DataFrame, docs: DataFrame, n: int = N, percent: int = PERCENT)
     same = (F.col("class") == F.col("c")) & F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("tie") == F.col("t"))
     # Equal rows may stand for their class together; distinct() below keeps one entry of each column.
     one = filled.join(key, same).select("class", F.posexplode("columns").alias("place", "gram"))
-    shared = one.groupBy("gram").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high").select("gram")
+    # Both sides of the join read one shuffle, as the sum reads all columns, too.
+    one = one.repartition("gram")
+    shared = one.groupBy("gram").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.max("place").alias("last")).where("low < high AND last >= 0").select("gram")
     entries = one.join(shared, "gram").distinct().join(whole.select("class", "size"), "class")
     entries = materialise(entries.select("gram", "place", "class", "size"), "entries")
     sizes = whole.select("class", "size", "counts", "step")
