@@ -13,8 +13,9 @@ that the markup did not tell. They are cut out, and the runs between stay.
 How much is much: within an article ``SHARE_INSIDE`` of the pages, as texts may quote
 each other; on pages without such an element ``SHARE_OUTSIDE``; and ``LEAST_PAGES`` in
 any case. Pages with equal text count once. The pages of a large host are dealt by hash
-into parts, each with a suffix array and shares of its own, so a host of any size is
-many tasks, and a part that still has more than ``PART`` bytes is read in pieces.
+into parts, each with a suffix array of its own, so a host of any size is many tasks, and a
+part that still has more than ``PART`` bytes is read in pieces. Shares are those of the whole
+host: what a piece holds on much of its own pages is counted in all parts of the host.
 
 A null page is empty; one without main text has the empty text. Rows with equal ids or
 urls are treated one by one. Without a url, pages belong to the host without a name.
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakewright.llm.words import U64, Hasher, column, mix, text_bytes
+from lakewright.llm.words import U64, Hasher, column, mix, text_bytes, windows
 from lakewright.session import materialise
 
 LONG = 8
@@ -44,6 +45,9 @@ PART = 8 << 20
 #: Hosts of more than one part (about 60 bytes each) up to which every executor gets their list.
 BROADCAST_HOSTS = 500_000
 
+#: What a part is told: pages that stand for their text, the host's texts, and stretches with their counts.
+LEADER, TOTAL, WANTED = 0, 1, 2
+
 # Elements of the HTML standard by what they mean here, and words that name boilerplate.
 RAW = {"script", "style", "title", "textarea", "xmp", "iframe", "noembed", "noframes"}
 DROP = {"nav", "footer", "aside", "head", "noscript", "template", "svg", "math", "button", "select", "dialog", "object", "canvas", "audio", "video", "menu"}
@@ -231,60 +235,91 @@ def suffix_order(tokens: np.ndarray, depth: int) -> np.ndarray:
     return rank
 
 
-def _pages_with(key: np.ndarray, page: np.ndarray, counted: np.ndarray) -> np.ndarray:
-    """For each entry, the number of distinct counted pages that hold its key."""
-    kinds, where = np.unique(key, return_inverse=True)
-    pairs = np.unique(where.astype(np.int64) * (int(page.max()) + 1 if len(page) else 1) + page)
+def _pages_with(key: np.ndarray, page: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each entry, the number of distinct pages that hold its key; and the first entry of each key."""
+    _, one, where = np.unique(key, return_index=True, return_inverse=True)
     width = int(page.max()) + 1 if len(page) else 1
-    return np.bincount(pairs // width, weights=counted[pairs % width], minlength=len(kinds))[where]
+    pairs = np.unique(where.astype(np.int64) * width + page)
+    return np.bincount(pairs // width, minlength=len(one))[where], one
+
+
+class _Stretches:
+    """The blocks of some pages and their stretches of ``long`` tokens, each with a number that other pages give it, too."""
+
+    def __init__(self, hasher: Hasher, pages: list[list[str]], long: int = LONG) -> None:
+        self.n, self.long = len(pages), long
+        self.blocks = [b for p in pages for b in p]
+        self.page_of_block = np.repeat(np.arange(self.n), [len(p) for p in pages])
+        data, at = text_bytes(pa.array(self.blocks, pa.large_string()))
+        start, end, self.first = hasher.spans(data, at)
+        self.tokens = hasher.runs(data, start, end)
+        self.block_of = np.repeat(np.arange(len(self.blocks)), np.diff(self.first))
+        self.page_of = self.page_of_block[self.block_of]
+        self.block_key = hasher.runs(data, at[:-1], at[1:]).view(np.int64)
+        last = len(self.tokens) - long + 1
+        self.where = np.flatnonzero(self.page_of[:last] == self.page_of[long - 1 :]) if last > 0 else np.empty(0, np.int64)
+        self.key = mix(windows(self.tokens, long)[self.where] ^ U64(long)).view(np.int64)
+
+    def common(self, least: float) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the blocks and stretches that stand on so many of these pages, by their suffixes' order, and on how many."""
+        edge = np.flatnonzero(np.diff(self.page_of)) + 1
+        # The stream of a page ends with a token of its own, so no stretch spans two pages.
+        stream = np.insert(self.tokens, edge, mix(np.arange(len(edge)).astype(U64) + U64(7)))
+        spot = self.where + np.searchsorted(edge, self.where, "right")
+        rank = suffix_order(stream, self.long)[spot] if len(spot) else spot
+        keys, counts = [], []
+        for group, key, page in ((rank, self.key, self.page_of[self.where]), (self.block_key, self.block_key, self.page_of_block)):
+            held, one = _pages_with(group, page)
+            one = one[held[one] >= least]
+            keys.append(key[one])
+            counts.append(held[one])
+        return np.concatenate(keys), np.concatenate(counts)
+
+    def count(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Those of the wanted numbers that stand on these pages, and on how many."""
+        key = np.concatenate([self.key, self.block_key])
+        page = np.concatenate([self.page_of[self.where], self.page_of_block])
+        some = np.isin(key, wanted)
+        held, one = _pages_with(key[some], page[some])
+        return key[some][one], held[one]
+
+    def cut(self, keys: np.ndarray, counts: np.ndarray, many: np.ndarray) -> list[list[str]]:
+        """The blocks of each page without what ``many`` of the pages hold, by these numbers and counts."""
+        by = np.argsort(keys)
+        keys, counts = np.r_[keys[by], 0], np.r_[counts[by], 0]
+
+        def held(key):
+            at = np.searchsorted(keys[:-1], key)
+            return np.where(keys[at] == key, counts[at], 0)
+
+        covered = (held(self.block_key) >= many[self.page_of_block])[self.block_of]
+        hit = self.where[held(self.key) >= many[self.page_of[self.where]]]
+        size = len(self.tokens) + 1
+        covered |= np.cumsum(np.bincount(hit, minlength=size)[:size] - np.bincount(hit + self.long, minlength=size)[:size])[:-1] > 0
+        touched = np.r_[0, np.cumsum(covered)][self.first]
+        out: list[list[str]] = [[] for _ in range(self.n)]
+        for b, text in enumerate(self.blocks):
+            low, high, gone = int(self.first[b]), int(self.first[b + 1]), int(touched[b + 1] - touched[b])
+            if not gone:
+                out[self.page_of_block[b]].append(text)
+            elif gone < high - low:
+                words = text.split(" ")
+                left = [w for w, x in zip(words, covered[low:high], strict=True) if not x] if len(words) == high - low else words
+                out[self.page_of_block[b]].append(" ".join(left))
+        return out
+
+
+def _many(total: int, within: np.ndarray) -> np.ndarray:
+    return np.maximum(LEAST_PAGES, np.where(within, SHARE_INSIDE, SHARE_OUTSIDE) * total)
 
 
 def boilerplate(hasher: Hasher, pages: list[list[str]], within: np.ndarray, long: int = LONG) -> list[list[str]]:
     """The blocks of each page without what stands on too many of the pages; ``within``: has an article element."""
-    n = len(pages)
-    blocks = [b for p in pages for b in p]
-    page_of_block = np.repeat(np.arange(n), [len(p) for p in pages])
-    if n < LEAST_PAGES or not blocks:
-        return pages
-    data, at = text_bytes(pa.array(blocks, pa.large_string()))
-    start, end, first = hasher.spans(data, at)
-    tokens = hasher.runs(data, start, end)
-    block_of = np.repeat(np.arange(len(blocks)), np.diff(first))
-    page_of = page_of_block[block_of]
-    # Pages with the same text count once.
-    whole = np.array([hash(tuple(p)) for p in pages])
-    counted = np.zeros(n)
-    counted[np.unique(whole, return_index=True)[1]] = 1
-    many = np.maximum(LEAST_PAGES, np.where(within, SHARE_INSIDE, SHARE_OUTSIDE) * counted.sum())
-
-    of_block = hasher.runs(data, at[:-1], at[1:])
-    bad_block = _pages_with(of_block, page_of_block, counted) >= many[page_of_block]
-    covered = bad_block[block_of]
-    if len(tokens) >= long:
-        # The stream of a page ends with a token of its own, so no stretch spans two pages.
-        edge = np.flatnonzero(np.diff(page_of)) + 1
-        stream = np.insert(tokens, edge, mix(np.arange(len(edge)).astype(U64) + U64(7)))
-        spot = np.arange(len(tokens)) + np.searchsorted(edge, np.arange(len(tokens)), "right")
-        rank = suffix_order(stream, long)[spot]
-        fits = np.zeros(len(tokens), bool)
-        fits[: len(tokens) - long + 1] = page_of[: len(tokens) - long + 1] == page_of[long - 1 :]
-        where = np.flatnonzero(fits)
-        hit = where[_pages_with(rank[where], page_of[where], counted) >= many[page_of[where]]]
-        change = np.bincount(hit, minlength=len(tokens) + 1)[: len(tokens) + 1] - np.bincount(hit + long, minlength=len(tokens) + 1)[: len(tokens) + 1]
-        covered |= np.cumsum(change)[:-1] > 0
-    if not covered.any():
+    distinct = [list(p) for p in dict.fromkeys(map(tuple, pages))]
+    if len(distinct) < LEAST_PAGES:
         return pages
-    out: list[list[str]] = [[] for _ in range(n)]
-    touched = np.add.reduceat(covered.astype(int), first[:-1]) if len(tokens) else covered
-    for b, text in enumerate(blocks):
-        low, high = int(first[b]), int(first[b + 1])
-        if low == high or not touched[b]:
-            out[page_of_block[b]].append(text)
-        elif touched[b] < high - low:
-            words = text.split(" ")
-            left = [w for w, gone in zip(words, covered[low:high], strict=True) if not gone] if len(words) == high - low else words
-            out[page_of_block[b]].append(" ".join(left))
-    return out
+    keys, counts = _Stretches(hasher, distinct, long).common(max(LEAST_PAGES, SHARE_OUTSIDE * len(distinct)))
+    return _Stretches(hasher, pages, long).cut(keys, counts, _many(len(distinct), within))
 
 
 def host_of(url: Column) -> Column:
@@ -292,40 +327,118 @@ def host_of(url: Column) -> Column:
 
 
 def main_texts(pages: DataFrame, part: int = PART) -> DataFrame:
-    """One row per page: page_id, url, text (blocks in page order, joined by a line feed) and n_chars."""
+    """One row per page: page_id, url, text (blocks in page order, joined by a line feed) and n_chars.
+
+    ``part`` bounds what one task sorts; the texts do not depend on it.
+    """
     id_type = pages.schema["page_id"].dataType.simpleString()
 
     def parsed(batches):
+        hasher = Hasher()
         for batch in batches:
             found = [blocks_of(p or "") for p in column(batch, "html").to_pylist()]
+            texts = pa.array(["\n".join(f[1]) for f in found], pa.string())
+            data, at = text_bytes(texts)
+            said = hasher.runs(data, at[:-1], at[1:]).view(np.int64)
             yield pa.record_batch(
-                [*(column(batch, c) for c in ("page_id", "url", "host", "spot")), pa.array([f[0] for f in found]), pa.array(["\n".join(f[1]) for f in found], pa.string())],
-                ["page_id", "url", "host", "spot", "within", "text"],
+                [*(column(batch, c) for c in ("page_id", "url", "host", "spot")), pa.array([f[0] for f in found]), texts, pa.array(said)],
+                ["page_id", "url", "host", "spot", "within", "text", "said"],
             )
 
     keyed = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"), F.xxhash64("page_id", "url", "html").alias("spot"))
-    blocks = keyed.mapInArrow(parsed, f"page_id {id_type}, url string, host string, spot long, within boolean, text string")
+    blocks = keyed.mapInArrow(parsed, f"page_id {id_type}, url string, host string, spot long, within boolean, text string, said long")
     sizes = pages.groupBy(host_of(F.col("url")).alias("host")).agg(F.greatest(F.lit(1), F.ceil(F.sum(F.octet_length("html")) / (2 * part))).alias("parts"))
-    large = materialise(sizes.where("parts > 1"), "hosts")
+    sizes = materialise(sizes, "hosts")
+    large = sizes.where("parts > 1")
     large = F.broadcast(large) if large.count() <= BROADCAST_HOSTS else large
     dealt = blocks.join(large, "host", "left").withColumn("part", F.pmod("spot", F.coalesce("parts", F.lit(1)))).drop("parts")
-    # Dealt anew by both: a join by host may have left a host's parts in one task.
+    # Dealt anew by both: a join by host may have left a host's parts in one task. All steps below read this one
+    # shuffle; each takes all its columns, so that it is the same for all.
     dealt = dealt.repartition("host", "part")
+    by_part = dealt.groupBy("host", "part")
+    asked = "host string, part long, key long, n long"
 
-    def cleaned(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("spot", "ascending")])
-        hasher, texts = Hasher(), column(table, "text").to_pylist()
-        within = column(table, "within").to_numpy(zero_copy_only=False)
+    def slim(batches):
+        for batch in batches:
+            yield batch.select(["host", "said", "spot", "part"])
+
+    def kind(table: pa.Table, of: int) -> tuple[np.ndarray, np.ndarray]:
+        table = table.filter(pa.array(column(table, "kind").to_numpy(zero_copy_only=False) == of))
+        return tuple(column(table, c).to_numpy(zero_copy_only=False) for c in ("key", "n"))
+
+    def cuts(texts: list[str]):
+        """Ranges of texts of bounded size."""
         ends, total = [], 0
         for t in texts:
             total += len(t) + 1
             ends.append(total)
-        out, a = [], 0
-        while a < len(texts):  # equal rows share a part, however many: read them in pieces
+        a = 0
+        while a < len(texts):
             b = max(a + 1, bisect_left(ends, (ends[a - 1] if a else 0) + 4 * part))
-            kept = boilerplate(hasher, [t.split("\n") if t else [] for t in texts[a:b]], within[a:b])
-            out += ["\n".join(k) for k in kept]
+            yield a, b
             a = b
+
+    def pieces(table: pa.Table, asked: pa.Table):
+        """The stretches of the part's pages that stand for their text in the host, some at a time."""
+        lead, spots = set(kind(asked, LEADER)[0].tolist()), column(table, "spot").to_pylist()
+        first = dict(zip(reversed(spots), reversed(range(len(spots))), strict=True))
+        texts = column(table, "text").take(pa.array(sorted(first[x] for x in lead & first.keys()), pa.int64())).to_pylist()
+        hasher = Hasher()
+        for a, b in cuts(texts):
+            yield _Stretches(hasher, [t.split("\n") if t else [] for t in texts[a:b]])
+
+    def told(table: pa.Table, keys: np.ndarray, counts: np.ndarray) -> pa.Table:
+        n = len(keys)
+        host, at = (column(table, "host")[0].as_py(), column(table, "part")[0].as_py()) if n else ("", 0)
+        return pa.table([pa.array([host] * n, pa.string()), pa.array([at] * n, pa.int64()), pa.array(keys, pa.int64()), pa.array(counts, pa.int64())], ["host", "part", "key", "n"])
+
+    def summed(table: pa.Table, found: list[tuple[np.ndarray, np.ndarray]]) -> pa.Table:
+        keys, where = np.unique(np.concatenate([np.empty(0, np.int64), *(f[0] for f in found)]), return_inverse=True)
+        return told(table, keys, np.bincount(where, weights=np.concatenate([np.empty(0), *(f[1] for f in found)]), minlength=len(keys)).astype(np.int64))
+
+    def candidates(table: pa.Table, asked: pa.Table) -> pa.Table:
+        """What stands on much of a piece. What stands on much of a host does so on some piece of it, at the least."""
+        total = int(kind(asked, TOTAL)[1].sum())
+        if not table.num_rows or total < LEAST_PAGES:
+            return summed(table, [])
+        share = max(LEAST_PAGES, SHARE_OUTSIDE * total) / total
+        found = [p.common(share * p.n - 1e-6) for p in pieces(table, asked)]
+        if len(found) > 1:
+            wanted = np.unique(np.concatenate([f[0] for f in found]))
+            found = [p.count(wanted) for p in pieces(table, asked)]
+        return summed(table, found)
+
+    def counted(table: pa.Table, asked: pa.Table) -> pa.Table:
+        """On how many pages of the part those stand that only other parts told."""
+        wanted = kind(asked, WANTED)[0]
+        return summed(table, [p.count(wanted) for p in pieces(table, asked)] if len(wanted) and table.num_rows else [])
+
+    def cleaned(table: pa.Table, asked: pa.Table) -> pa.Table:
+        table = table.sort_by([("spot", "ascending")])
+        texts, within = column(table, "text").to_pylist(), column(table, "within").to_numpy(zero_copy_only=False)
+        keys, counts = kind(asked, WANTED)
+        hasher, out, total = Hasher(), texts, int(kind(asked, TOTAL)[1].sum())
+        if len(keys):
+            out = []
+            for a, b in cuts(texts):
+                found = _Stretches(hasher, [t.split("\n") if t else [] for t in texts[a:b]])
+                out += ["\n".join(k) for k in found.cut(keys, counts, _many(total, within[a:b]))]
         return pa.table([column(table, "page_id"), column(table, "url"), pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
-    return dealt.groupBy("host", "part").applyInArrow(cleaned, f"page_id {id_type}, url string, text string, n_chars long")
+    def rows(table: DataFrame, of: int, key: str = "0", n: str = "0") -> DataFrame:
+        return table.selectExpr("host", "part", f"{of} AS kind", f"CAST({key} AS long) AS key", f"CAST({n} AS long) AS n")
+
+    # One page stands for all of a host with its text.
+    leaders = dealt.mapInArrow(slim, "host string, said long, spot long, part long").groupBy("host", "said").agg(F.min(F.struct("spot", "part")).alias("of")).select("host", "of.spot", "of.part")
+    totals = leaders.groupBy("host").agg(F.count("spot").alias("total"), F.max("part").alias("last")).where("last >= 0").drop("last").join(sizes, "host")
+    parts = totals.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    known = rows(leaders, LEADER, "spot").unionByName(rows(parts, TOTAL, n="total"))
+    found = by_part.cogroup(known.groupBy("host", "part")).applyInArrow(candidates, asked)
+    found = found.groupBy("host", "key").agg(F.sum("n").alias("n"), F.collect_set("part").alias("told")).where("size(told) > 0 AND n > 0")
+    open_ = found.join(sizes, "host").withColumn("part", F.explode(F.array_except(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), "told")))
+    more = by_part.cogroup(rows(leaders, LEADER, "spot").unionByName(rows(open_, WANTED, "key")).groupBy("host", "part")).applyInArrow(counted, asked)
+    often = found.select("host", "key", "n").unionByName(more.select("host", "key", "n")).groupBy("host", "key").agg(F.sum("n").alias("n"))
+    often = often.join(totals, "host").where((F.col("n") >= LEAST_PAGES) & (F.col("n") >= F.col("total") * SHARE_OUTSIDE))
+    often = often.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    last = rows(parts, TOTAL, n="total").unionByName(rows(often, WANTED, "key", "n"))
+    return by_part.cogroup(last.groupBy("host", "part")).applyInArrow(cleaned, f"page_id {id_type}, url string, text string, n_chars long")

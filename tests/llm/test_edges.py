@@ -172,6 +172,20 @@ def test_pages(spark):
     assert pages.main_texts(table.where("false")).collect() == []
 
 
+def test_shares_are_those_of_the_whole_host(spark):
+    """A host's texts do not depend on how many parts its pages are dealt into, nor do copies of a page count."""
+    notice = "read this long notice about how we use your data on every page today"
+    rows = []
+    for k in range(60):
+        words = " ".join(f"own{k}word{i}" for i in range(30))
+        said = [f"<p>{words}</p>"] + [f"<p>{notice}</p>"] * (k % 4 == 0) + ["<p>Seen on few</p>"] * (k % 12 == 0)
+        rows += [(k, "http://h.x/a", "".join(said))] + [(1000 + k, "http://h.x/b", "".join(said))] * (k % 12 == 0) * 3
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    whole = sorted((r.page_id, r.text) for r in pages.main_texts(table).collect())
+    assert len(whole) == len(rows) and not any(notice in t for _, t in whole) and sum("Seen on few" in t for _, t in whole) == 20
+    assert sorted((r.page_id, r.text) for r in pages.main_texts(table, part=700).collect()) == whole
+
+
 def test_quotes(spark):
     rows = [(1, 0, "u", "Hello.\nMore"), (1, 1, "a", "> Hello.\nyes"), (1, 1, "a", "> Hello.\nyes"), (1, None, "a", "> Hello."), (None, 1, None, None), (2, 0, "u", ""), (2, 1, "u", "> gone\n" * 3000)]
     table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").selectExpr("*", "1 AS thread", "2 AS runs")
