@@ -131,9 +131,11 @@ def bucket(grams: np.ndarray) -> np.ndarray:
 def sets(docs: DataFrame, order: np.ndarray, n: int = N, percent: int = PERCENT) -> DataFrame:
     """doc_id, tie (of the text), n_shingles, the class (equal sets, null without any), the columns that take part, in
     order, and how many columns each block holds, in steps of ``step`` and rounded up."""
+    # The order goes along with the tasks, and the driver keeps what it sends: mostly zeros and small numbers.
+    packed = pa.compress(pa.py_buffer(order), codec="zstd", asbytes=True)
 
     def measured(batches):
-        hasher = Hasher()
+        hasher, order = Hasher(), np.frombuffer(pa.decompress(packed, decompressed_size=4 * COUNTERS, codec="zstd"), np.uint32)
         for batch in slices(batches, "text"):
             size, kind, columns, counts, steps = [], [], [], [], []
             for found in shingles(hasher, column(batch, "text"), n):
@@ -250,14 +252,18 @@ def links(rows: DataFrame, docs: DataFrame, n: int = N, percent: int = PERCENT)
     both = F.zip_with("counts_a", "counts_b", lambda x, y: F.least(x * F.col("step_a"), y * F.col("step_b")))
     possible = (100 * F.least(a, b) >= percent * F.greatest(a, b)) & (F.aggregate(both, F.lit(0).cast("long"), lambda x, y: x + y) >= least_overlap(a, b, percent))
 
-    def apart(rows: DataFrame, links: DataFrame) -> DataFrame:
+    def apart(rows: DataFrame, known: DataFrame) -> DataFrame:
         """The rows of columns that are not all connected yet, with their roots; a column that is stays so."""
-        known = components(links).select(F.col("node").alias("class"), F.col("root").alias("known"))
+        known = known.select(F.col("node").alias("class"), F.col("root").alias("known"))
         joined = rows.join(known, "class", "left").withColumn("root", F.coalesce("known", "class")).drop("known")
         several = joined.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("gram")
         return materialise(joined.join(several, "gram"), "open")
 
-    sure, open_ = None, entries.withColumn("root", F.col("class"))
+    def grown(known: DataFrame | None, links: DataFrame) -> DataFrame:
+        """Components of the links and of those found before, which go in as stars."""
+        return components(links if known is None else links.unionByName(known.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+
+    known, open_ = None, entries.withColumn("root", F.col("class"))
     for turn in range(ROUNDS):
         rows = open_.withColumn("about", F.floor(F.log("size") / F.log(F.lit(100 / percent)) + turn / ROUNDS))
         mark = F.xxhash64(F.lit(turn), "class")
@@ -271,16 +277,16 @@ def links(rows: DataFrame, docs: DataFrame, n: int = N, percent: int = PERCENT)
         led = led.join(sizes.select(*side("a")), F.col("a") == F.col("class_a")).join(sizes.select(*side("b")), F.col("b") == F.col("class_b")).where(possible)
         best = materialise(led.select("a", "b"), "pairs")
         found = materialise(verified(best, texts_of(best), n, percent), "links")
-        sure = found if sure is None else sure.unionByName(found)
         if found.isEmpty():
             break
-        open_ = apart(open_, sure)
+        known = grown(known, found)
+        open_ = apart(open_, known)
 
     # The product over columns whose rows are not all connected by then.
     first = F.col("place") <= F.col("size") - least_overlap(F.col("size"), F.col("size"), percent) + extra_of(F.col("size"))
     held = open_.groupBy("gram").agg(F.min("class").alias("low"), F.count("*").alias("held"))
-    open_ = open_.select("gram", "class", "size", "root", first.alias("first")).join(held, "gram")
     blocks = F.lit(max(1, -(-open_.count() // BLOCK_ENTRIES)))
+    open_ = open_.select("gram", "class", "size", "root", first.alias("first")).join(held, "gram")
     dealt = open_.where(F.col("held") <= BLOCK_ROWS).withColumn("block", F.pmod(F.xxhash64("low"), blocks))
     product = dealt.groupBy("block").applyInArrow(block_product(percent), "class_a long, class_b long, size_a long, size_b long, shared long")
     often = open_.where(F.col("held") > BLOCK_ROWS)
@@ -295,16 +301,21 @@ def links(rows: DataFrame, docs: DataFrame, n: int = N, percent: int = PERCENT)
     product = product.unionByName(rest).groupBy("class_a", "class_b", "size_a", "size_b").agg(F.sum("shared").alias("shared")).where(enough).select("class_a", "class_b")
     product = product.join(sizes.select(*side("a")), "class_a").join(sizes.select(*side("b")), "class_b").where(possible)
     pairs = materialise(product.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")), "pairs")
-    more = verified(pairs, texts_of(pairs), n, percent)
-    return components(sure.unionByName(more))
+    return grown(known, verified(pairs, texts_of(pairs), n, percent))
+
+
+def rooted(docs: DataFrame, n: int = N, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """The :func:`sets` of ``docs``, and of those with words doc_id, tie, n_shingles, class and root."""
+    rows = materialise(sets(docs, column_order(docs, n), n, percent), "sets")
+    roots = links(rows, docs, n, percent).withColumnRenamed("node", "class")
+    slim = rows.drop("columns", "counts", "step").where("class is not null")
+    return rows, slim.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
 
 
 def similar_texts(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs``: doc_id, tie (hash of the text), n_shingles, root (a class of
     the component, which differs also where ids repeat; null without words) and component_id."""
-    rows = materialise(sets(docs, column_order(docs, n), n, percent), "sets")
-    roots = links(rows, docs, n, percent).withColumnRenamed("node", "class")
-    slim = rows.drop("columns", "counts", "step").where("class is not null").join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
+    rows, slim = rooted(docs, n, percent)
     least = slim.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     found = slim.join(least, "root").select("doc_id", "tie", "n_shingles", "root", "component_id")
     alone = rows.where("class is null").select("doc_id", "tie", "n_shingles", F.col("class").alias("root"), F.col("doc_id").alias("component_id"))
@@ -316,8 +327,8 @@ def keep_one(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
 
     The smallest id stays, and of equal ids the smallest text hash and then any.
     """
-    found = similar_texts(docs, n, percent)
-    first = found.where("root is not null").groupBy("root").agg(F.min(F.struct(F.isnull("doc_id"), "doc_id", "tie")).alias("of"))
+    _, found = rooted(docs, n, percent)
+    first = found.groupBy("root").agg(F.min(F.struct(F.isnull("doc_id"), "doc_id", "tie")).alias("of"))
     row = F.struct(*[F.col(c) for c in docs.columns])
     tied = docs.select(F.col("doc_id").alias("i"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("t"), row.alias("row"))
     kept = tied.join(first.select("of.doc_id", "of.tie"), F.col("i").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("tie")), "left_semi")

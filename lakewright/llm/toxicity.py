@@ -193,11 +193,12 @@ def learn(docs: DataFrame, labels: DataFrame, each: int = TRAIN_TEXTS, width: in
     seen = sample.mapInArrow(words_of, "feature long, clean long, toxic long").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     odds = F.log((F.col("toxic") + 0.5) / (F.col("clean") + 0.5))
     held = seen.where(F.col("toxic") + F.col("clean") >= LEAST_TEXTS).withColumn("odds", odds)
-    # The sample is bounded, and so are the features of either kind.
-    rows = [r for kind in ("odds > 1", "odds < -1") for r in held.where(kind).orderBy(F.desc(F.abs("odds")), "feature").limit(width).select("feature", "odds").collect()]
-    features = np.array([r.feature for r in rows], np.int64).view(U64)
+    # The sample is bounded, and so are the features of either kind. One query counts for both and brings them as columns, not rows.
+    toxic, clean = (held.where(kind).orderBy(F.desc(F.abs("odds")), "feature").limit(width).select("feature", "odds") for kind in ("odds > 1", "odds < -1"))
+    told = toxic.unionByName(clean).toArrow()
+    features, odds = column(told, "feature").to_numpy().view(U64), column(told, "odds").to_numpy()
     order = np.argsort(features)
-    features, start = features[order], np.array([r.odds for r in rows], float)[order] / 2
+    features, start = features[order], odds[order] / 2
     blank = Model(features, np.zeros(len(features)), BIAS)
 
     def bags(batches):
